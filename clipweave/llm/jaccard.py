@@ -12,8 +12,9 @@ near-copies without expanding groups into pairs. Then each group that still hold
 to a signature tree: leaves are documents, nodes hold the OR of their shingle bitmaps, their range of sizes
 and their component if it is but one. A dual traversal from the root drops node pairs of one component, of
 sizes too far apart, or whose largest possible overlap (common bits, plus shingles that share bits) is too
-small. Remaining pairs are verified on the texts. No pair across components is dropped otherwise, so no
-link is lost, nor is any cap set: what the order can't spread, the trees prune.
+small. Remaining pairs are verified on their sets, unless a link found before has joined their components.
+No pair across components is dropped otherwise, so no link is lost, nor is any cap set: what the order can't
+spread, the trees prune.
 
 Components are labelled by the smallest doc_id with alternating large-star and small-star steps.
 
@@ -33,37 +34,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipweave.llm.common import NULL_ID, id_key, joined, small_side, stored, text_of
-from clipweave.llm.shingles import all_sets, mixed
+from clipweave.llm.shingles import all_sets, mixed, slices
 
 #: Bits of a document's bitmap; children of a tree node; node pairs looked at together.
-BITS, FANOUT, TOGETHER = 2048, 8, 8192
+BITS, FANOUT, TOGETHER = 4096, 8, 8192
 SIGNED = np.int64
 
 
 @dataclass(frozen=True)
 class JoinSpec:
-    """words: of a shingle; percent: least similarity. hot: a shingle seen so often in batches that have it at least
-    hot_local times is ordered late; at most hot_most of them (this only orders, it drops nothing)."""
+    """words: of a shingle; percent: least similarity. A shingle counted hot times or more, in batches that have it
+    hot_local times or more, is ordered late, by the logarithm of its count; at most hot_most of them, the most
+    frequent (this only orders, it drops nothing)."""
 
     words: int = 5
     percent: int = 80
-    hot: int = 64
-    hot_local: int = 3
-    hot_most: int = 1 << 18
+    hot: int = 6
+    hot_local: int = 2
+    hot_most: int = 1 << 20
 
 
 def set_names(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit names of each set (0 for the empty set)."""
     a, b = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
-    for i, s in enumerate(sets):
-        if len(s):
-            a[i], b[i] = np.add.reduce(mixed(s ^ np.uint64(0xA5A5))), np.add.reduce(mixed(s ^ np.uint64(0xC3C3C3)))
+    full = np.array([i for i, s in enumerate(sets) if len(s)], np.int64)
+    if len(full):
+        whole = np.concatenate([sets[i] for i in full])
+        starts = np.cumsum([0] + [len(sets[i]) for i in full[:-1]])
+        a[full] = np.add.reduceat(mixed(whole ^ np.uint64(0xA5A5)), starts)
+        b[full] = np.add.reduceat(mixed(whole ^ np.uint64(0xC3C3C3)), starts)
     size = np.array([len(s) for s in sets], np.uint64)
     return mixed(a + size), mixed(b + size)
 
 
-def least_overlap(size: int, percent: int) -> int:
-    return -(-percent * size // 100)
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Common members of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x):
+        return 0
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int((y[at] == x).sum())
 
 
 def _batch(**cols) -> pa.RecordBatch:
@@ -105,7 +117,7 @@ def _name_pass(rows: DataFrame, spec: JoinSpec) -> DataFrame:
     return stored(rows.mapInArrow(run, "kind int, a long, b long, c long, n long"), "sets", partition_by="kind")
 
 
-def _prefix_pass(rows: DataFrame, spec: JoinSpec, hot: np.ndarray) -> DataFrame:
+def _prefix_pass(rows: DataFrame, spec: JoinSpec, hot: np.ndarray, level: np.ndarray) -> DataFrame:
     """(shingle, aux: minhash and size, sid) for the first shingles of each batch's distinct sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,18 +132,17 @@ def _prefix_pass(rows: DataFrame, spec: JoinSpec, hot: np.ndarray) -> DataFrame:
                 sizes = np.array([len(sets[i]) for i in mine])
                 whole = np.concatenate([sets[i] for i in mine])
                 starts = np.cumsum(sizes) - sizes
-                late = np.zeros(len(whole), bool)
+                late = np.zeros(len(whole), np.int8)
                 if len(hot):
                     spot = np.minimum(np.searchsorted(hot, whole), len(hot) - 1)
-                    late = hot[spot] == whole
+                    late = np.where(hot[spot] == whole, level[spot], 0)
                 least = np.minimum.reduceat(mixed(whole ^ np.uint64(0x777)), starts) >> np.uint64(33)
                 take = sizes - -(-spec.percent * sizes // 100) + 1
                 out = []
                 for s, n, p in zip(starts.tolist(), sizes.tolist(), take.tolist(), strict=True):
                     flags = late[s : s + n]
                     if flags.any():
-                        order = np.concatenate([np.flatnonzero(~flags), np.flatnonzero(flags)])[:p]
-                        out.append(whole[s + order])
+                        out.append(whole[s + np.argsort(flags, kind="stable")[:p]])
                     else:
                         out.append(whole[s : s + p])
                 aux = (least.astype(np.int64) << 32) | sizes
@@ -197,13 +208,13 @@ def verified(pairs: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
     right = texts.select(F.col("sid").alias("b"), F.col("body").alias("y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "x", "y")):
             xs = [s for _, sets in all_sets(batch.column("x"), spec.words) for s in sets]
             ys = [s for _, sets in all_sets(batch.column("y"), spec.words) for s in sets]
             good = np.zeros(len(xs), bool)
             for i, (x, y) in enumerate(zip(xs, ys, strict=True)):
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                good[i] = len(x) > 0 and 100 * common >= spec.percent * (len(x) + len(y) - common)
+                common = overlap(x, y)
+                good[i] = common > 0 and 100 * common >= spec.percent * (len(x) + len(y) - common)
             mask = pa.array(good)
             yield _batch(a=batch.column("a").filter(mask), b=batch.column("b").filter(mask))
 
@@ -214,11 +225,11 @@ def verified(pairs: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
 # -- signature trees
 
 
-def bitmap(s: np.ndarray) -> tuple[bytes, int]:
+def bitmap(s: np.ndarray) -> tuple[np.ndarray, int]:
     """The set's bits, and how many of its shingles share a bit with an earlier one."""
     bits = np.zeros(BITS, np.uint8)
     bits[(mixed(s ^ np.uint64(0x1B17)) % np.uint64(BITS)).astype(np.int64)] = 1
-    return np.packbits(bits).tobytes(), len(s) - int(bits.sum())
+    return np.packbits(bits).view(np.uint64), len(s) - int(bits.sum())
 
 
 class SignatureTree:
@@ -270,54 +281,77 @@ class SignatureTree:
             stack.append((level - 1, x[good], y[good]))
 
 
+def grouped(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[list[tuple]]:
+    """Rows of one key (the first column) at a time, from rows in order of it."""
+    group: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+            if group and group[-1][0] != row[0]:
+                yield group
+                group = []
+            group.append(row)
+    if group:
+        yield group
+
+
+def tree_of(marks: list[tuple[np.ndarray, int]], sizes: np.ndarray, comps: np.ndarray) -> tuple[SignatureTree, np.ndarray] | None:
+    _, label = np.unique(comps, return_inverse=True)
+    if label.max() == 0:
+        return None
+    label = label.astype(np.int64)
+    return SignatureTree(np.stack([m[0] for m in marks]), sizes, np.array([m[1] for m in marks], np.int64), label), label.copy()
+
+
+def links_of(sets: list[np.ndarray], comps: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """Links between different components of a group, as many as join what is linked: pairs already joined are passed over."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    made = tree_of([bitmap(s) for s in sets], sizes, comps)
+    if made is None:
+        return
+    tree, label = made
+    for i, j in tree.pairs(percent):
+        apart = label[i] != label[j]
+        for x, y in zip(i[apart].tolist(), j[apart].tolist(), strict=True):
+            if label[x] == label[y]:
+                continue
+            common = overlap(sets[x], sets[y])
+            if 100 * common >= percent * (sizes[x] + sizes[y] - common):
+                yield x, y
+                label[label == label[y]] = label[x]
+
+
+def _bitmap_pass(members: DataFrame, percent: int) -> DataFrame:
+    """From (key, comp, n, sid, bits, shared): the (key, comp, n, sid) that a tree leaves a partner for. Only these rows' sets travel."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, ("key", "comp", "n", "sid", "bits", "shared")):
+            made = tree_of([(np.frombuffer(r[4], np.uint64), r[5]) for r in group], np.array([r[2] for r in group], np.int64), np.array([r[1] for r in group], np.int64))
+            if made is None:
+                continue
+            alive = np.zeros(len(group), bool)
+            for i, j in made[0].pairs(percent):
+                alive[i] = alive[j] = True
+            rows = np.array([group[i][:4] for i in np.flatnonzero(alive)], np.int64).reshape(-1, 4)
+            if len(rows):
+                yield _batch(**{c: pa.array(rows[:, k]) for k, c in enumerate(("key", "comp", "n", "sid"))})
+
+    ordered = members.repartition("key").sortWithinPartitions("key", "comp", "n", "sid")
+    return stored(ordered.mapInArrow(run, "key long, comp long, n long, sid long"), "alive")
+
+
 def _tree_pass(members: DataFrame, percent: int) -> DataFrame:
-    """From (key, comp, n, sid, bits, shared), whole groups in order: the pairs (a, b) that the trees leave."""
-
-    def pairs_of(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        sid = np.array([r[3] for r in rows], np.int64)
-        _, parts = np.unique(np.array([r[1] for r in rows], np.int64), return_inverse=True)
-        if parts.max() == 0:
-            return
-        bits = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(len(rows), BITS // 64)
-        tree = SignatureTree(bits, np.array([r[2] for r in rows], np.int64), np.array([r[5] for r in rows], np.int64), parts.astype(np.int64))
-        for i, j in tree.pairs(percent):
-            yield from zip(np.minimum(sid[i], sid[j]).tolist(), np.maximum(sid[i], sid[j]).tolist(), strict=True)
+    """From (key, comp, n, sid, set), whole groups in order: links (a, b) that join components of a group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told: set[tuple[int, int]] = set()
-        out: list[tuple[int, int]] = []
-        group: list[tuple] = []
-
-        def flush():
-            x = np.array(out, np.int64).reshape(-1, 2)
-            out.clear()
-            return _batch(a=pa.array(x[:, 0]), b=pa.array(x[:, 1]))
-
-        def close():
-            for p in pairs_of(group):
-                if p not in told:
-                    if len(told) > 2_000_000:
-                        told.clear()
-                    told.add(p)
-                    out.append(p)
-                    if len(out) >= 100_000:
-                        yield flush()
+        for group in grouped(batches, ("key", "comp", "sid", "set")):
+            sids = [r[2] for r in group]
+            found = [(sids[x], sids[y]) for x, y in links_of([np.frombuffer(r[3], np.uint64) for r in group], np.array([r[1] for r in group], np.int64), percent)]
+            if found:
+                x = np.array(found, np.int64)
+                yield _batch(a=pa.array(x.min(axis=1)), b=pa.array(x.max(axis=1)))
 
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group and group[-1][0] != row[0]:
-                    yield from close()
-                    group = []
-                group.append(row)
-            if out:
-                yield flush()
-        if group:
-            yield from close()
-        if out:
-            yield flush()
-
-    ordered = members.repartition("key").sortWithinPartitions("key", "comp", "n", "sid").select("key", "comp", "n", "sid", "bits", "shared")
-    return stored(ordered.mapInArrow(run, "a long, b long").distinct(), "candidates")
+    ordered = members.repartition("key").sortWithinPartitions("key", "comp", "n", "sid").select("key", "comp", "sid", "set")
+    return stored(ordered.mapInArrow(run, "a long, b long").distinct(), "more")
 
 
 # -- components
@@ -350,12 +384,15 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", t
     rows = docs.select(id_key(id_col).alias("key"), text_of(text_col).alias("body"))
     named = _name_pass(rows, spec)
     often = named.where("kind = 1").groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= spec.hot).orderBy(F.desc("n"), "a").limit(spec.hot_most)
-    hot = np.sort(often.select("a").toArrow()["a"].to_numpy().astype(np.int64).view(np.uint64))
+    counted = often.toArrow()
+    hot = counted["a"].to_numpy().astype(np.int64).view(np.uint64)
+    rank = np.argsort(hot)
+    hot, level = hot[rank], np.log2(counted["n"].to_numpy()[rank] + 1.0).astype(np.int8)
     sets = named.where("kind = 0").select(F.col("a").alias("key"), F.col("b").alias("sid"), F.col("c").alias("second"), "n")
     classes = sets.where("n > 0").groupBy("sid").agg(F.min("key").alias("rep"), F.when(F.min("second") == F.max("second"), F.max("n")).otherwise(F.raise_error(F.lit("two sets share a name")).cast("long")).alias("n"))
     classes = stored(classes, "classes")
 
-    groups = _group_pass(_prefix_pass(rows, spec, hot), spec.percent)
+    groups = _group_pass(_prefix_pass(rows, spec, hot, level), spec.percent)
     chain = groups.where("kind = 0").select("a", "b")
     members = groups.where("kind = 1").select("key", F.col("a").alias("sid"), F.col("b").alias("n"))
     wanted = chain.select(F.col("a").alias("sid")).unionByName(chain.select(F.col("b").alias("sid"))).unionByName(members.select("sid")).distinct()
@@ -373,8 +410,9 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", t
     )
     rest = stored(joined(labelled, open_groups, "key", "left_semi", 16), "open")
     marks = _bitmaps(texts.join(rest.select("sid").distinct(), "sid", "left_semi"), spec)
-    left = _tree_pass(rest.join(marks, "sid"), spec.percent)
-    more = verified(left, texts, spec)
+    alive = _bitmap_pass(rest.select("key", "comp", "n", "sid").join(marks, "sid").select("key", "comp", "n", "sid", "bits", "shared"), spec.percent)
+    held = _held_sets(texts.join(alive.select("sid").distinct(), "sid", "left_semi"), spec)
+    more = _tree_pass(alive.join(held, "sid"), spec.percent)
 
     name = classes.select("sid", "rep")
     edges = links.unionByName(more)
@@ -410,12 +448,24 @@ def _own_text(found: DataFrame, spec: JoinSpec) -> DataFrame:
 def _bitmaps(texts: DataFrame, spec: JoinSpec) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [bitmap(s) for _, sets in all_sets(batch.column("body"), spec.words) for s in sets]
-            yield _batch(sid=batch.column("sid"), bits=pa.array([m[0] for m in made], pa.binary()), shared=pa.array([m[1] for m in made], pa.int64()))
+            sids = batch.column("sid")
+            for row, sets in all_sets(batch.column("body"), spec.words):
+                made = [bitmap(s) for s in sets]
+                yield _batch(sid=sids.slice(row, len(sets)), bits=pa.array([m[0].tobytes() for m in made], pa.binary()), shared=pa.array([m[1] for m in made], pa.int64()))
 
     return texts.mapInArrow(run, "sid long, bits binary, shared long").dropDuplicates(["sid"])
 
 
+def _held_sets(texts: DataFrame, spec: JoinSpec) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sids = batch.column("sid")
+            for row, sets in all_sets(batch.column("body"), spec.words):
+                yield _batch(sid=sids.slice(row, len(sets)), set=pa.array([s.tobytes() for s in sets], pa.binary()))
+
+    return texts.mapInArrow(run, "sid long, set binary").dropDuplicates(["sid"])
+
+
 def keep_one(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each group of links: the one of smallest doc_id. Documents without words all stay."""
     names = docs.columns

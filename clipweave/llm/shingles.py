@@ -12,6 +12,7 @@ _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_VALUE = _BYTE[_LOWER]
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 #: Bytes of text that are worked on at once (a longer text is worked on alone).
@@ -41,21 +42,19 @@ def _powers(n: int) -> np.ndarray:
 
 def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """data: bytes of texts end to end, bounds: their starts and the last end. Hashes of all words; the texts' first words' indices and the last end."""
-    low = _LOWER[data]
-    solid = ~_BLANK[low]
-    cut = np.zeros(len(data) + 1, bool)
-    cut[bounds] = True
+    solid = ~_BLANK[data]
     begins = solid.copy()
-    begins[1:] &= ~solid[:-1] | cut[1:-1]
-    starts = np.flatnonzero(begins)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
-    word = np.cumsum(begins) - 1
+    begins[1:] &= ~solid[:-1]
+    at_bound = bounds[:-1][bounds[:-1] < len(data)]
+    begins[at_bound] = solid[at_bound]
     at = np.flatnonzero(solid)
-    word = word[at]
-    inside = at - starts[word]
-    values = mixed(_BYTE[low[at]] * _powers(int(inside.max()) + 1)[inside])
-    first = np.searchsorted(word, np.arange(len(starts)))
+    if not len(at):
+        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+    opens = begins[at]
+    first = np.flatnonzero(opens)
+    starts = at[first]
+    inside = at - np.repeat(starts, np.diff(first, append=len(at)))
+    values = _VALUE[data[at]] * _powers(int(inside.max()) + 1)[inside]
     return mixed(np.add.reduceat(values, first)), np.searchsorted(starts, bounds)
 
 
@@ -107,3 +106,11 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 def all_sets(column: pa.Array, n: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     for row, data, bounds in chunks(column):
         yield row, shingle_sets(data, bounds, n)
+
+
+def slices(batch: pa.RecordBatch, *columns: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about so many bytes of the columns, whole rows each."""
+    size = sum(batch.column(c).nbytes for c in columns)
+    rows = max(1, int(batch.num_rows * most / max(1, size)))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
