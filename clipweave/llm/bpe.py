@@ -20,18 +20,38 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipweave.llm.common import extended
 
-#: Code points of a text leaf, bytes of a piece leaf, remembered pieces.
-TEXT_LEAF, PIECE_LEAF, MEMO = 16_384, 16, 200_000
+#: Code points of a text leaf, bytes of a piece leaf, remembered pieces of a generation.
+TEXT_LEAF, PIECE_LEAF, MEMO = 16_384, 16, 150_000
 #: How far behind its end, in code points, a match of the pattern can depend on the text.
 REACH = 3
 
 
+class Memo(dict):
+    """Pieces' ids by piece. When full, it starts anew but looks at its last generation before encoding again."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, piece: str) -> list[int]:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.encode(piece.encode("utf-8", "replace"))
+        if len(piece) <= 64:
+            if len(self) >= MEMO:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class TreeBPE:
     def __init__(self, rank_file: str, pattern: str, text_leaf: int = TEXT_LEAF, piece_leaf: int = PIECE_LEAF):
         import regex
@@ -41,7 +61,13 @@ class TreeBPE:
         self.bytes_of = {v: k for k, v in self.ranks.items()}
         self.pattern = regex.compile(pattern)
         self.text_leaf, self.piece_leaf = text_leaf, piece_leaf
-        self.memo: dict[str, list[int]] = {}
+        self.memo = Memo(self.piece)
+        try:  # the compiled library encodes leaves and windows; the method below does the same
+            import tiktoken
+
+            self.leaf = tiktoken.Encoding("leaves", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})._core_bpe.encode_single_piece
+        except ImportError:
+            pass
         self.valid: dict[tuple[int, int], bool] = {}
 
     # -- tokens of one piece
@@ -121,17 +147,7 @@ class TreeBPE:
         return [text[a:b] for a, b in zip(chain((0,), ends), ends, strict=False)]
 
     def encode(self, text: str) -> list[int]:
-        memo, out = self.memo, []
-        for piece in self.pieces(text):
-            ids = memo.get(piece)
-            if ids is None:
-                ids = self.piece(piece.encode("utf-8", "replace"))
-                if len(piece) <= 64:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[piece] = ids
-            out += ids
-        return out
+        return list(chain.from_iterable(map(self.memo.__getitem__, self.pieces(text))))
 
     def decode(self, ids: list[int]) -> bytes:
         """Concatenation is associative: the tree's levels fold into one join."""
@@ -144,16 +160,26 @@ def tree_bpe(rank_file: str, pattern: str) -> TreeBPE:
     return TreeBPE(rank_file, pattern)
 
 
-def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
-    """docs plus an array of ids. rank_file is a path every executor has."""
+def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids", exact_col: str | None = None) -> DataFrame:
+    """docs plus an array of ids and, if named, whether they decode to the text. rank_file is a path every executor has."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tree_bpe(rank_file, pattern)
         for batch in batches:
             for part in _slices(batch, text_col):
-                ids = pa.array([bpe.encode(t or "") for t in part.column(text_col).to_pylist()], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, ids_col])
+                flat, ends, exact = [], [0], []
+                for text in part.column(text_col):
+                    text = text.as_py() or ""
+                    ids = bpe.encode(text)
+                    flat.append(np.array(ids, np.int32))
+                    ends.append(ends[-1] + len(ids))
+                    if exact_col:
+                        exact.append(bpe.decode(ids) == text.encode("utf-8", "replace"))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat)))
+                more = [pa.array(exact, pa.bool_())] if exact_col else []
+                yield pa.RecordBatch.from_arrays([*part.columns, ids, *more], names=[*part.schema.names, ids_col, *([exact_col] if exact_col else [])])
 
-    return docs.mapInArrow(run, extended(docs.schema, **{ids_col: "array<int>"}))
+    return docs.mapInArrow(run, extended(docs.schema, **{ids_col: "array<int>"} | ({exact_col: "boolean"} if exact_col else {})))
 
 
 def decode(docs: DataFrame, rank_file: str, pattern: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
@@ -162,8 +188,9 @@ def decode(docs: DataFrame, rank_file: str, pattern: str, ids_col: str = "token_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tree_bpe(rank_file, pattern)
         for batch in batches:
-            data = pa.array([bpe.decode(x or []) for x in batch.column(ids_col).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, data], names=[*batch.schema.names, out_col])
+            for part in _slices(batch, ids_col):
+                data = pa.array([bpe.decode(x.as_py() or []) for x in part.column(ids_col)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, data], names=[*part.schema.names, out_col])
 
     return docs.mapInArrow(run, extended(docs.schema, **{out_col: "binary"}))
 

@@ -41,8 +41,7 @@ def source_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Op 6: the documents with their ids, and whether the ids decode to the text."""
     ranks, pattern = tokenizer()
-    coded = bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern)
-    return coded.withColumn("n_tokens", F.size("token_ids").cast("long")).withColumn("exact", F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")).drop("decoded")
+    return bpe.encode(docs, ranks, pattern, exact_col="exact").withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
 STAGES = [
