@@ -2,7 +2,7 @@
 
 Sizes are words. A source's documents are hashed into blocks, in an order that is a random permutation of
 its documents. Its target is met by whole passes over all blocks and one partial pass: the blocks below a
-cut, plus chosen documents of the block at the cut. The blocks to draw, counted by source, are the root of
+cut, plus chosen ones of the next few hundred documents (for a small source, of all). The blocks to draw, counted by source, are the root of
 a binary tree over output shards: each node deals its block counts to its two children with a multivariate
 hypergeometric draw of the left child's exact size. A leaf so holds its shard's exact quota of each source,
 and takes its next blocks in the source's permuted order, which makes the draws disjoint. Rows are ordered
@@ -19,7 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipweave.llm.common import small_side, stored, text_of
@@ -28,6 +28,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Hash bits that name a block in the first and in the second look at a source.
 BITS = 10
 LEVEL2 = 12
+#: Documents among which the partial pass ends: at least so many, if there are; and the most for an exact subset.
+ENDING, FEW = 512, 64
 
 
 @dataclass(frozen=True)
@@ -101,18 +103,40 @@ def _cut(sums: list[tuple[int, int]], want: float) -> tuple[int, float]:
 
 
 def _choose(units: list[tuple[int, int]], want: float) -> list[int]:
-    """Places of units whose sizes sum close to want: in order, those that fit; then the one that ends nearest."""
+    """Places of units whose sizes sum close to want. Of few units the best subset; of more, in order, those that fit, then
+    the one that ends nearest."""
+    if len(units) <= FEW:
+        return _best_subset(units, want)
     chosen, left = [], want
     for place, size in units:
         if size <= left:
             chosen.append(place)
             left -= size
-    rest = [(abs(left - size), place) for place, size in units if place not in set(chosen)]
+    held = set(chosen)
+    rest = [(abs(left - size), place) for place, size in units if place not in held]
     if rest and min(rest)[0] < left:
         chosen.append(min(rest)[1])
     return chosen
 
 
+def _best_subset(units: list[tuple[int, int]], want: float) -> list[int]:
+    """Subset sums as bits of whole numbers, one for each prefix of the units."""
+    sums = [1]
+    for _, size in units:
+        sums.append(sums[-1] | sums[-1] << size)
+    whole = int(want)
+    below = (sums[-1] & ((1 << (whole + 1)) - 1)).bit_length() - 1
+    above = sums[-1] >> (whole + 1)
+    up = whole + 1 + (above & -above).bit_length() - 1 if above else None
+    total = below if up is None or want - below <= up - want else up
+    chosen = []
+    for i in range(len(units) - 1, -1, -1):
+        if not sums[i] >> total & 1:
+            chosen.append(units[i][0])
+            total -= units[i][1]
+    return chosen[::-1]
+
+
 def plan(slim: DataFrame, spec: MixSpec) -> tuple[DataFrame, DataFrame]:
     """From (_src, _size, _hash) rows: (sources: _src, source_size, target, passes, cut, chosen), (draws: _src, _block, draws)."""
     spark = slim.sparkSession
@@ -126,19 +150,23 @@ def plan(slim: DataFrame, spec: MixSpec) -> tuple[DataFrame, DataFrame]:
     index = {n: i for i, n in enumerate(names)}
 
     first: dict[str, list] = {n: [] for n in names}
-    for r in slim.where("_size > 0").groupBy("_src", _block(BITS).alias("b")).agg(F.sum("_size").alias("size")).collect():
+    rows_in: dict[str, list] = {n: [] for n in names}
+    for r in slim.where("_size > 0").groupBy("_src", _block(BITS).alias("b")).agg(F.sum("_size").alias("size"), F.count("*").alias("n")).collect():
         first[r["_src"]].append((r["b"], r["size"]))
-    cut1 = {n: _cut(sorted(first[n]), want[index[n]]) for n in names}
-    near = _pairs(spark, [(n, c[0]) for n, c in cut1.items()])
-    inside = slim.where("_size > 0").withColumn("_b", _block(BITS)).join(F.broadcast(near), ["_src", "_b"], "left_semi")
+        rows_in[r["_src"]].append((r["b"], r["n"]))
+    few = {n: sum(c for _, c in rows_in[n]) <= 8 * ENDING for n in names}  # then all its documents are there to choose from
+    cut1 = {n: (0, want[index[n]]) if few[n] else _cut(sorted(first[n]), want[index[n]]) for n in names}
+    last = {n: (1 << BITS) - 1 if few[n] else _reach(sorted(rows_in[n]), cut1[n][0]) for n in names}
+    near = spark.createDataFrame([(n, cut1[n][0], last[n]) for n in names], "_src string, _from long, _to long")
+    inside = slim.where("_size > 0").join(F.broadcast(near), "_src").where(_block(BITS).between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
     second: dict[str, list] = {n: [] for n in names}
     for r in inside.groupBy("_src", _block(BITS + LEVEL2).alias("b")).agg(F.sum("_size").alias("size")).collect():
         second[r["_src"]].append((r["b"], r["size"]))
     # few documents: the whole block is the place to choose in; many: one of its parts
     counts = {r["_src"]: r["n"] for r in inside.groupBy("_src").agg(F.countDistinct("_hash").alias("n")).collect()}
-    cut2 = {n: _cut(sorted(second[n]), cut1[n][1]) if counts.get(n, 0) > 4096 else None for n in names}
+    cut2 = {n: _cut(sorted(second[n]), cut1[n][1]) if counts.get(n, 0) > 8 * ENDING else None for n in names}
     low = {n: cut2[n][0] << (62 - BITS - LEVEL2) if cut2[n] else cut1[n][0] << (62 - BITS) for n in names}
-    high = {n: low[n] + (1 << (62 - BITS - (LEVEL2 if cut2[n] else 0))) for n in names}
+    high = {n: low[n] + (1 << (62 - BITS - LEVEL2)) if cut2[n] else (last[n] + 1) << (62 - BITS) for n in names}
     ranges = spark.createDataFrame([(n, low[n], high[n]) for n in names], "_src string, _low long, _high long")
     inside = inside.join(F.broadcast(ranges), "_src").where("_hash >= _low and _hash < _high")
     units: dict[str, list] = {n: [] for n in names}
@@ -155,7 +183,7 @@ def plan(slim: DataFrame, spec: MixSpec) -> tuple[DataFrame, DataFrame]:
         blocks = np.array(sorted(b for b, _ in first[n]), np.int64)
         for p in range(passes[i] + 1):
             order = np.random.Generator(np.random.PCG64([spec.seed, i, p])).permutation(blocks)
-            draws += [(i, n, p, int(b)) for b in order if p < passes[i] or b <= cut1[n][0]]
+            draws += [(i, n, p, int(b)) for b in order if p < passes[i] or b <= last[n]]
     total = np.bincount([d[0] for d in draws], minlength=len(names)) if draws else np.zeros(len(names), np.int64)
     ends = np.cumsum(split_tree(total, spec.shards, spec.seed), axis=0) if names else np.zeros((spec.shards, 0))
     seen, dealt = [0] * len(names), []
@@ -166,8 +194,15 @@ def plan(slim: DataFrame, spec: MixSpec) -> tuple[DataFrame, DataFrame]:
     return sources, flat.groupBy("_src", "_block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("draws"))
 
 
-def _pairs(spark: SparkSession, rows: list[tuple[str, int]]) -> DataFrame:
-    return spark.createDataFrame(rows, "_src string, _b long")
+def _reach(counts: list[tuple[int, int]], block: int) -> int:
+    """The block, from the given one on, by which there are enough documents to end a pass with."""
+    seen = 0
+    for b, n in counts:
+        if b >= block:
+            block, seen = b, seen + n
+            if seen >= ENDING:
+                break
+    return block
 
 
 def drawn(rows: DataFrame, slim: DataFrame, spec: MixSpec) -> DataFrame:
@@ -191,15 +226,15 @@ def quotas(docs: DataFrame, spec: MixSpec = MixSpec(), id_col: str = "doc_id", t
     return drawn(slim, slim, spec).select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.size("draws")).alias("taken"), "draws")
 
 
-def mix(docs: DataFrame, spec: MixSpec = MixSpec(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mixed corpus: docs' columns plus shard, one row per draw, shards apart and shuffled inside."""
+def mix(docs: DataFrame, spec: MixSpec = MixSpec(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shard_out: str = "shard") -> DataFrame:
+    """The mixed corpus: docs' columns plus the shard, one row per draw, shards apart and shuffled inside."""
     names = docs.columns
     rows = measured(docs, spec, id_col, text_col, source_col)
     out = drawn(rows, _slim(rows), spec).withColumn("_draw", F.explode("draws"))
     return (
-        out.withColumn("shard", F.col("_draw.shard"))
+        out.withColumn("_shard", F.col("_draw.shard"))
         .withColumn("_order", F.xxhash64("_hash", "_draw.pass", F.lit(spec.seed)))
-        .repartition("shard", F.pmod("_order", F.lit(16)))
-        .sortWithinPartitions("shard", "_order")
-        .select(*(F.col(f"`{n}`") for n in names), "shard")
+        .repartition("_shard", F.pmod("_order", F.lit(16)))
+        .sortWithinPartitions("_shard", "_order")
+        .select(*(F.col(f"`{n}`") for n in names), F.col("_shard").alias(shard_out))
     )
