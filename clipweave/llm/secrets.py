@@ -61,7 +61,7 @@ _MODEL = _transitions()
 def features(kind: str, value: str, before: str, after: str, path: str) -> list[float]:
     codes, n = _codes(value), max(1, len(value))
     low, path = value.lower(), path.lower()
-    near = set(re.findall(r"[a-z0-9]+", f"{before[-AROUND:]} {after[:AROUND]}".lower()))
+    near = set(re.findall(r"(?<![\w.@-])[a-z0-9]+(?!\.?[\w@])", f"{before[-AROUND:]} {after[:AROUND]}".lower()))
     covered = np.zeros(len(low), bool)
     for size in range(3, 10):
         for i in range(min(len(low), 200) - size + 1):
