@@ -173,12 +173,12 @@ def fit(docs: DataFrame, spec: TrainSpec = TrainSpec(), id_col: str = "doc_id",
     return train(windows, labels, spec) if labels else None
 
 
-def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> DataFrame:
-    """docs plus lang_pred and score. The network sees nothing but the text."""
+def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
+    """docs plus the language and its score, under names that docs has no columns of. The network sees nothing but the text."""
     names = docs.columns
     cols = [F.col(f"`{n}`") for n in names]
     tagged = docs.select(*cols, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
-    schema = extended(docs.schema, lang_pred="string", score="double")
+    schema = extended(docs.schema, **{lang_out: "string", score_out: "double"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = net.compiled() if net else None
@@ -196,7 +196,7 @@ def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text") -> Dat
                         held, size = [], 0
                 if held:
                     _score(model, held, langs, scores)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, lang_out, score_out])
 
     return tagged.mapInArrow(run, schema)
 

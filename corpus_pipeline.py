@@ -19,8 +19,8 @@ LEAST_SCORE = 0.35
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Op 2: keeps documents in one of the learned languages."""
-    scored = langid.predict(docs.withColumnRenamed("score", "_score") if "score" in docs.columns else docs, langid.fit(docs))
-    return scored.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).drop("lang_pred", "score")
+    scored = langid.predict(docs, langid.fit(docs), lang_out="_lang_pred", score_out="_lang_score")
+    return scored.where((F.col("_lang_pred") != langid.UNKNOWN) & (F.col("_lang_score") >= LEAST_SCORE)).drop("_lang_pred", "_lang_score")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,13 +35,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Op 3: rows in the order of the mix, a document once for each draw."""
-    return mixing.mix(docs).drop("shard")
+    return mixing.mix(docs, shard_out="_shard").drop("_shard")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Op 6: the documents with their ids, and whether the ids decode to the text."""
     ranks, pattern = tokenizer()
-    return bpe.encode(docs, ranks, pattern, exact_col="exact").withColumn("n_tokens", F.size("token_ids").cast("long"))
+    plain = docs.drop("token_ids", "exact", "n_tokens")  # of an earlier coding
+    return bpe.encode(plain, ranks, pattern, exact_col="exact").withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
 STAGES = [
