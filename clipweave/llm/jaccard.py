@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from clipweave.llm.common import NULL_ID, id_key, joined, small_side, stored, text_of
 from clipweave.llm.shingles import all_sets, mixed, slices
 
-#: Bits of a document's bitmap; children of a tree node; node pairs looked at together.
+#: Bits of the smallest bitmap; children of a tree node; node pairs looked at together.
 BITS, FANOUT, TOGETHER = 4096, 8, 8192
 SIGNED = np.int64
 
@@ -225,11 +225,20 @@ def verified(pairs: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
 # -- signature trees
 
 
-def bitmap(s: np.ndarray) -> tuple[np.ndarray, int]:
-    """The set's bits, and how many of its shingles share a bit with an earlier one."""
-    bits = np.zeros(BITS, np.uint8)
-    bits[(mixed(s ^ np.uint64(0x1B17)) % np.uint64(BITS)).astype(np.int64)] = 1
-    return np.packbits(bits).view(np.uint64), len(s) - int(bits.sum())
+def width_of(size: int) -> int:
+    """Bits for a set of this size: the smallest width, or four times it, and so on, of at least four bits a shingle."""
+    bits = BITS
+    while bits < 4 * size:
+        bits *= 4
+    return bits
+
+
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """The set's bits as words; a wider bitmap folds into a narrower one."""
+    width = width_of(len(s))
+    bits = np.zeros(width, np.uint8)
+    bits[(mixed(s ^ np.uint64(0x1B17)) % np.uint64(width)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.uint64)
 
 
 class SignatureTree:
@@ -294,42 +303,60 @@ def grouped(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iter
         yield group
 
 
-def tree_of(marks: list[tuple[np.ndarray, int]], sizes: np.ndarray, comps: np.ndarray) -> tuple[SignatureTree, np.ndarray] | None:
-    _, label = np.unique(comps, return_inverse=True)
-    if label.max() == 0:
-        return None
-    label = label.astype(np.int64)
-    return SignatureTree(np.stack([m[0] for m in marks]), sizes, np.array([m[1] for m in marks], np.int64), label), label.copy()
+def candidate_pairs(marks: list[np.ndarray], sizes: np.ndarray, label: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a group's documents that the trees leave: one tree for each width of bitmaps, and one for each two widths
+    over the documents whose sizes can meet, the wider bitmaps folded."""
+    width = np.array([len(m) for m in marks])
+
+    def tree(words: np.ndarray, idx: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        shared = sizes[idx] - np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+        for i, j in SignatureTree(words, sizes[idx], shared, label[idx]).pairs(percent):
+            yield idx[i], idx[j]
+
+    widths = np.unique(width).tolist()
+    for k, w in enumerate(widths):
+        mine = np.flatnonzero(width == w)
+        yield from tree(np.stack([marks[i] for i in mine]), mine)
+        for v in widths[k + 1 :]:
+            other = np.flatnonzero(width == v)
+            near = mine[100 * sizes[mine] >= percent * sizes[other].min()]
+            far = other[percent * sizes[other] <= 100 * sizes[mine].max()]
+            if len(near) and len(far):
+                words = np.stack([marks[i] for i in near] + [np.bitwise_or.reduce(marks[i].reshape(-1, w), axis=0) for i in far])
+                for i, j in tree(words, np.concatenate([near, far])):
+                    cross = width[i] != width[j]
+                    yield i[cross], j[cross]
 
 
 def links_of(sets: list[np.ndarray], comps: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
     """Links between different components of a group, as many as join what is linked: pairs already joined are passed over."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    made = tree_of([bitmap(s) for s in sets], sizes, comps)
-    if made is None:
+    _, label = np.unique(comps, return_inverse=True)
+    label = label.astype(np.int64)
+    if label.max() == 0:
         return
-    tree, label = made
-    for i, j in tree.pairs(percent):
-        apart = label[i] != label[j]
+    now = label.copy()
+    for i, j in candidate_pairs([bitmap(s) for s in sets], sizes, label, percent):
+        apart = now[i] != now[j]
         for x, y in zip(i[apart].tolist(), j[apart].tolist(), strict=True):
-            if label[x] == label[y]:
+            if now[x] == now[y]:
                 continue
             common = overlap(sets[x], sets[y])
             if 100 * common >= percent * (sizes[x] + sizes[y] - common):
                 yield x, y
-                label[label == label[y]] = label[x]
+                now[now == now[y]] = now[x]
 
 
 def _bitmap_pass(members: DataFrame, percent: int) -> DataFrame:
-    """From (key, comp, n, sid, bits, shared): the (key, comp, n, sid) that a tree leaves a partner for. Only these rows' sets travel."""
+    """From (key, comp, n, sid, bits): the (key, comp, n, sid) that a tree leaves a partner for. Only these rows' sets travel."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in grouped(batches, ("key", "comp", "n", "sid", "bits", "shared")):
-            made = tree_of([(np.frombuffer(r[4], np.uint64), r[5]) for r in group], np.array([r[2] for r in group], np.int64), np.array([r[1] for r in group], np.int64))
-            if made is None:
+        for group in grouped(batches, ("key", "comp", "n", "sid", "bits")):
+            _, label = np.unique(np.array([r[1] for r in group], np.int64), return_inverse=True)
+            if label.max() == 0:
                 continue
             alive = np.zeros(len(group), bool)
-            for i, j in made[0].pairs(percent):
+            for i, j in candidate_pairs([np.frombuffer(r[4], np.uint64) for r in group], np.array([r[2] for r in group], np.int64), label.astype(np.int64), percent):
                 alive[i] = alive[j] = True
             rows = np.array([group[i][:4] for i in np.flatnonzero(alive)], np.int64).reshape(-1, 4)
             if len(rows):
@@ -404,14 +431,10 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", t
     first = components(links)
     labelled = members.join(small_side(first.select(F.col("node").alias("sid"), "comp"), 24), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     labelled = stored(labelled, "members")
-    open_groups = (
-        labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_xor(F.xxhash64("sid")).alias("x"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("y"), F.count("*").alias("c"))
-        .where("lo <> hi").groupBy("x", "y", "c").agg(F.min("key").alias("key")).select("key")
-    )
-    rest = stored(joined(labelled, open_groups, "key", "left_semi", 16), "open")
-    marks = _bitmaps(texts.join(rest.select("sid").distinct(), "sid", "left_semi"), spec)
-    alive = _bitmap_pass(rest.select("key", "comp", "n", "sid").join(marks, "sid").select("key", "comp", "n", "sid", "bits", "shared"), spec.percent)
-    held = _held_sets(texts.join(alive.select("sid").distinct(), "sid", "left_semi"), spec)
+    rest = _open_groups(labelled)
+    marks = _bitmaps(joined(texts, rest.select("sid").distinct(), "sid", "left_semi", 16), spec)
+    alive = _open_groups(_bitmap_pass(rest.select("key", "comp", "n", "sid").join(marks, "sid").select("key", "comp", "n", "sid", "bits"), spec.percent))
+    held = _held_sets(joined(texts, alive.select("sid").distinct(), "sid", "left_semi", 16), spec)
     more = _tree_pass(alive.join(held, "sid"), spec.percent)
 
     name = classes.select("sid", "rep")
@@ -445,15 +468,23 @@ def _own_text(found: DataFrame, spec: JoinSpec) -> DataFrame:
     return found.select("sid", "body").mapInArrow(run, "sid long, body string")
 
 
+def _open_groups(members: DataFrame) -> DataFrame:
+    """Members of groups of several components; of groups of the same members, one."""
+    chosen = (
+        members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_xor(F.xxhash64("sid")).alias("x"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("y"), F.count("*").alias("c"))
+        .where("lo <> hi").groupBy("x", "y", "c").agg(F.min("key").alias("key")).select("key")
+    )
+    return stored(joined(members, chosen, "key", "left_semi", 16), "open")
+
+
 def _bitmaps(texts: DataFrame, spec: JoinSpec) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sids = batch.column("sid")
             for row, sets in all_sets(batch.column("body"), spec.words):
-                made = [bitmap(s) for s in sets]
-                yield _batch(sid=sids.slice(row, len(sets)), bits=pa.array([m[0].tobytes() for m in made], pa.binary()), shared=pa.array([m[1] for m in made], pa.int64()))
+                yield _batch(sid=sids.slice(row, len(sets)), bits=pa.array([bitmap(s).tobytes() for s in sets], pa.binary()))
 
-    return texts.mapInArrow(run, "sid long, bits binary, shared long").dropDuplicates(["sid"])
+    return texts.mapInArrow(run, "sid long, bits binary").dropDuplicates(["sid"])
 
 
 def _held_sets(texts: DataFrame, spec: JoinSpec) -> DataFrame:

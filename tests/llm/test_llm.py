@@ -214,16 +214,16 @@ def test_op5_odd(odd, empty):
 
 def test_signature_tree_keeps_every_link():
     rng = np.random.default_rng(3)
-    base = rng.integers(0, 1 << 60, 300, dtype=np.uint64)
-    sets = [np.unique(np.concatenate([base[: 300 - k], rng.integers(0, 1 << 60, k, dtype=np.uint64)])) for k in rng.integers(0, 80, 60)]
+    base = rng.integers(0, 1 << 60, 1060, dtype=np.uint64)  # about where bitmaps get wider
+    sets = [np.unique(np.concatenate([base[: 1060 - k], rng.integers(0, 1 << 60, k // 2, dtype=np.uint64)])) for k in rng.integers(0, 250, 60)]
     sizes = np.array([len(s) for s in sets])
-    made = jaccard.tree_of([jaccard.bitmap(s) for s in sets], sizes, np.arange(60))
-    left = {(int(a), int(b)) for i, j in made[0].pairs(80) for a, b in zip(i, j, strict=True)}
+    left = {(min(int(a), int(b)), max(int(a), int(b))) for i, j in jaccard.candidate_pairs([jaccard.bitmap(s) for s in sets], sizes, np.arange(60), 80) for a, b in zip(i, j, strict=True)}
     for a in range(60):
         for b in range(a + 1, 60):
             common = jaccard.overlap(sets[a], sets[b])
             if 100 * common >= 80 * (sizes[a] + sizes[b] - common):
                 assert (a, b) in left
+    assert len({len(jaccard.bitmap(s)) for s in sets}) == 2
 
 
 def test_components_of_a_path(spark):
