@@ -37,7 +37,7 @@ from clipweave.llm.common import NULL_ID, id_key, joined, small_side, stored, te
 from clipweave.llm.shingles import all_sets, mixed, slices
 
 #: Bits of the smallest bitmap; children of a tree node; node pairs looked at together.
-BITS, FANOUT, TOGETHER = 4096, 8, 8192
+BITS, FANOUT, TOGETHER = 512, 8, 8192
 SIGNED = np.int64
 
 
@@ -226,10 +226,11 @@ def verified(pairs: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
 
 
 def width_of(size: int) -> int:
-    """Bits for a set of this size: the smallest width, or four times it, and so on, of at least four bits a shingle."""
+    """Bits for a set of this size: a power of two of at least two bits a shingle, which tells strangers apart at two thirds
+    of the overlap that a link needs, and travels at a twentieth of the set's bytes."""
     bits = BITS
-    while bits < 4 * size:
-        bits *= 4
+    while bits < 2 * size:
+        bits *= 2
     return bits
 
 

@@ -223,7 +223,7 @@ def test_signature_tree_keeps_every_link():
             common = jaccard.overlap(sets[a], sets[b])
             if 100 * common >= 80 * (sizes[a] + sizes[b] - common):
                 assert (a, b) in left
-    assert len({len(jaccard.bitmap(s)) for s in sets}) == 2
+    assert len({len(jaccard.bitmap(s)) for s in sets}) > 1
 
 
 def test_components_of_a_path(spark):
