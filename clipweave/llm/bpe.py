@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipweave.llm.common import extended
+from clipweave.llm.common import extended, tidied
 
 #: Code points of a text leaf, bytes of a piece leaf, remembered pieces of a generation.
-TEXT_LEAF, PIECE_LEAF, MEMO = 16_384, 16, 150_000
+TEXT_LEAF, PIECE_LEAF, MEMO = 16_384, 16, 60_000
 #: How far behind its end, in code points, a match of the pattern can depend on the text.
 REACH = 3
 
@@ -179,7 +179,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
                 more = [pa.array(exact, pa.bool_())] if exact_col else []
                 yield pa.RecordBatch.from_arrays([*part.columns, ids, *more], names=[*part.schema.names, ids_col, *([exact_col] if exact_col else [])])
 
-    return docs.mapInArrow(run, extended(docs.schema, **{ids_col: "array<int>"} | ({exact_col: "boolean"} if exact_col else {})))
+    return docs.mapInArrow(tidied(run), extended(docs.schema, **{ids_col: "array<int>"} | ({exact_col: "boolean"} if exact_col else {})))
 
 
 def decode(docs: DataFrame, rank_file: str, pattern: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
@@ -192,7 +192,7 @@ def decode(docs: DataFrame, rank_file: str, pattern: str, ids_col: str = "token_
                 data = pa.array([bpe.decode(x.as_py() or []) for x in part.column(ids_col)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, data], names=[*part.schema.names, out_col])
 
-    return docs.mapInArrow(run, extended(docs.schema, **{out_col: "binary"}))
+    return docs.mapInArrow(tidied(run), extended(docs.schema, **{out_col: "binary"}))
 
 
 def _slices(batch: pa.RecordBatch, text_col: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -218,4 +218,4 @@ def digests(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id
                 back.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(told), pa.array(back)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(tidied(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

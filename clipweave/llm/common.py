@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,6 +78,23 @@ def _at_exit() -> None:
 atexit.register(_at_exit)
 
 
+def tidied(run):
+    """run for mapInArrow; when a task is over, its worker, which the next task will use, gives free memory back."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
+
+
 def extended(schema: T.StructType, **kinds: str) -> T.StructType:
     """A copy of the schema with more columns, kinds as DDL."""
     return T.StructType([*schema.fields, *T.StructType.fromDDL(", ".join(f"{k} {v}" for k, v in kinds.items())).fields])

@@ -33,9 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipweave.llm.common import NULL_ID, id_key, joined, small_side, stored, text_of
+from clipweave.llm.common import NULL_ID, id_key, joined, small_side, stored, text_of, tidied
 from clipweave.llm.shingles import all_sets, mixed, slices
 
+#: Bytes of text whose shingles are counted together.
+COUNTED = 16 << 20
 #: Bits of the smallest bitmap; children of a tree node; node pairs looked at together.
 BITS, FANOUT, TOGETHER = 512, 8, 8192
 SIGNED = np.int64
@@ -100,7 +102,7 @@ def _name_pass(rows: DataFrame, spec: JoinSpec) -> DataFrame:
     """kind 0: (doc_id, set name, second name, size); kind 1: (shingle, times) that a batch's distinct sets have often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "body", most=COUNTED)):
             keys, held = batch.column("key").to_numpy(zero_copy_only=False), []
             for row, sets in all_sets(batch.column("body"), spec.words):
                 a, b = set_names(sets)
@@ -114,7 +116,7 @@ def _name_pass(rows: DataFrame, spec: JoinSpec) -> DataFrame:
                 if m:
                     yield _batch(kind=pa.array(np.ones(m, np.int32)), a=_long(values[often]), b=_long(np.zeros(m)), c=_long(np.zeros(m)), n=_long(counts[often].astype(np.int64)))
 
-    return stored(rows.mapInArrow(run, "kind int, a long, b long, c long, n long"), "sets", partition_by="kind")
+    return stored(rows.mapInArrow(tidied(run), "kind int, a long, b long, c long, n long"), "sets", partition_by="kind")
 
 
 def _prefix_pass(rows: DataFrame, spec: JoinSpec, hot: np.ndarray, level: np.ndarray) -> DataFrame:
@@ -148,7 +150,7 @@ def _prefix_pass(rows: DataFrame, spec: JoinSpec, hot: np.ndarray, level: np.nda
                 aux = (least.astype(np.int64) << 32) | sizes
                 yield _batch(key=_long(np.concatenate(out)), aux=_long(np.repeat(aux, take)), sid=_long(np.repeat(names[mine], take)))
 
-    return rows.select("body").mapInArrow(run, "key long, aux long, sid long")
+    return rows.select("body").mapInArrow(tidied(run), "key long, aux long, sid long")
 
 
 def _group_pass(prefixes: DataFrame, percent: int) -> DataFrame:
@@ -196,7 +198,7 @@ def _group_pass(prefixes: DataFrame, percent: int) -> DataFrame:
             keep = [i for i in range(max(0, m - 2), m) if rows[i, 0] == rows[-1, 0]]
             tail, tail_new = rows[keep], [bool(fresh[i] and not many[i]) for i in keep]
 
-    return stored(prefixes.repartition("key").sortWithinPartitions("key", "aux", "sid").mapInArrow(run, "kind int, key long, a long, b long"), "groups", partition_by="kind")
+    return stored(prefixes.repartition("key").sortWithinPartitions("key", "aux", "sid").mapInArrow(tidied(run), "kind int, key long, a long, b long"), "groups", partition_by="kind")
 
 
 # -- verification
@@ -219,7 +221,7 @@ def verified(pairs: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
             yield _batch(a=batch.column("a").filter(mask), b=batch.column("b").filter(mask))
 
     both = pairs.select("a", "b").distinct().join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return stored(both.mapInArrow(run, "a long, b long"), "links")
+    return stored(both.mapInArrow(tidied(run), "a long, b long"), "links")
 
 
 # -- signature trees
@@ -364,7 +366,7 @@ def _bitmap_pass(members: DataFrame, percent: int) -> DataFrame:
                 yield _batch(**{c: pa.array(rows[:, k]) for k, c in enumerate(("key", "comp", "n", "sid"))})
 
     ordered = members.repartition("key").sortWithinPartitions("key", "comp", "n", "sid")
-    return stored(ordered.mapInArrow(run, "key long, comp long, n long, sid long"), "alive")
+    return stored(ordered.mapInArrow(tidied(run), "key long, comp long, n long, sid long"), "alive")
 
 
 def _tree_pass(members: DataFrame, percent: int) -> DataFrame:
@@ -379,7 +381,7 @@ def _tree_pass(members: DataFrame, percent: int) -> DataFrame:
                 yield _batch(a=pa.array(x.min(axis=1)), b=pa.array(x.max(axis=1)))
 
     ordered = members.repartition("key").sortWithinPartitions("key", "comp", "n", "sid").select("key", "comp", "sid", "set")
-    return stored(ordered.mapInArrow(run, "a long, b long").distinct(), "more")
+    return stored(ordered.mapInArrow(tidied(run), "a long, b long").distinct(), "more")
 
 
 # -- components
@@ -466,7 +468,7 @@ def _own_text(found: DataFrame, spec: JoinSpec) -> DataFrame:
             mask = pa.array(good)
             yield _batch(sid=batch.column("sid").filter(mask), body=batch.column("body").filter(mask))
 
-    return found.select("sid", "body").mapInArrow(run, "sid long, body string")
+    return found.select("sid", "body").mapInArrow(tidied(run), "sid long, body string")
 
 
 def _open_groups(members: DataFrame) -> DataFrame:
@@ -485,7 +487,7 @@ def _bitmaps(texts: DataFrame, spec: JoinSpec) -> DataFrame:
             for row, sets in all_sets(batch.column("body"), spec.words):
                 yield _batch(sid=sids.slice(row, len(sets)), bits=pa.array([bitmap(s).tobytes() for s in sets], pa.binary()))
 
-    return texts.mapInArrow(run, "sid long, bits binary").dropDuplicates(["sid"])
+    return texts.mapInArrow(tidied(run), "sid long, bits binary").dropDuplicates(["sid"])
 
 
 def _held_sets(texts: DataFrame, spec: JoinSpec) -> DataFrame:
@@ -495,7 +497,7 @@ def _held_sets(texts: DataFrame, spec: JoinSpec) -> DataFrame:
             for row, sets in all_sets(batch.column("body"), spec.words):
                 yield _batch(sid=sids.slice(row, len(sets)), set=pa.array([s.tobytes() for s in sets], pa.binary()))
 
-    return texts.mapInArrow(run, "sid long, set binary").dropDuplicates(["sid"])
+    return texts.mapInArrow(tidied(run), "sid long, set binary").dropDuplicates(["sid"])
 
 
 def keep_one(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
