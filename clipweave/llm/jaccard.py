@@ -8,13 +8,15 @@ any fixed order of all shingles. The order puts shingles counted often last, so
 group documents that consist of them. A group is split by signature trees, below.
 
 Links. First, neighbours of each group (ordered by a minhash and size) are verified; this joins most
-near-copies without expanding groups into pairs. Then each group that still holds several components goes
-to a signature tree: leaves are documents, nodes hold the OR of their shingle bitmaps, their range of sizes
-and their component if it is but one. A dual traversal from the root drops node pairs of one component, of
-sizes too far apart, or whose largest possible overlap (common bits, plus shingles that share bits) is too
-small. Remaining pairs are verified on their sets, unless a link found before has joined their components.
-No pair across components is dropped otherwise, so no link is lost, nor is any cap set: what the order can't
-spread, the trees prune.
+near-copies without expanding groups into pairs. Then each group that still holds several components is cut,
+by range, into chunks of bounded rows. Each chunk goes to a signature tree, and the chunks' roots to a tree of
+their group, which leaves the pairs of chunks to look into: no task holds more than two chunks and a group's
+roots. Leaves are documents, nodes hold the OR of their shingle bitmaps, their range of sizes and their
+component if it is but one. A dual traversal from the root drops node pairs of one component, of sizes too far
+apart, or whose largest possible overlap (common bits, plus shingles that share bits) is too small. Remaining
+pairs are verified on their sets, unless a link found before has joined their components. No pair across
+components is dropped otherwise, so no link is lost, nor is any cap set: what the order can't spread, the trees
+prune.
 
 Components are labelled by the smallest doc_id with alternating large-star and small-star steps.
 
@@ -30,7 +32,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipweave.llm.common import NULL_ID, id_key, joined, small_side, stored, text_of, tidied
@@ -47,13 +50,16 @@ SIGNED = np.int64
 class JoinSpec:
     """words: of a shingle; percent: least similarity. A shingle counted hot times or more, in batches that have it
     hot_local times or more, is ordered late, by the logarithm of its count; at most hot_most of them, the most
-    frequent (this only orders, it drops nothing)."""
+    frequent (this only orders, it drops nothing). chunk_rows, chunk_shingles: most rows of a chunk of a group, and most
+    shingles of its sets together (a larger set is a chunk of its own); all pairs of chunks that can link are looked into."""
 
     words: int = 5
     percent: int = 80
     hot: int = 6
     hot_local: int = 2
     hot_most: int = 1 << 20
+    chunk_rows: int = 512
+    chunk_shingles: int = 1 << 21
 
 
 def set_names(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -244,21 +250,31 @@ def bitmap(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.uint64)
 
 
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (the last axis) folded to so many words."""
+    return np.bitwise_or.reduce(bits.reshape(*bits.shape[:-1], -1, words), axis=-2)
+
+
 class SignatureTree:
-    """Levels from the leaves up: OR-ed bitmaps, sizes, shared bits, and the component (-1: several)."""
+    """Levels from the leaves up: OR-ed bitmaps, range of sizes, shared bits, and the labels (-1: several). Nodes that agree in
+    one of the labels, the component or the side, have no pair to look for."""
 
-    def __init__(self, bits: np.ndarray, sizes: np.ndarray, shared: np.ndarray, parts: np.ndarray):
-        self.levels = [(bits, sizes, sizes, shared, parts)]
+    def __init__(self, bits: np.ndarray, lo: np.ndarray, hi: np.ndarray, shared: np.ndarray, labels: list[np.ndarray]):
+        self.levels = [(bits, lo, hi, shared, labels)]
         while len(self.levels[-1][1]) > 1:
-            b, lo, hi, sh, part = self.levels[-1]
+            b, lo, hi, sh, labels = self.levels[-1]
             at = np.arange(0, len(lo), FANOUT)
-            pmin, pmax = np.minimum.reduceat(part, at), np.maximum.reduceat(part, at)
-            self.levels.append((np.bitwise_or.reduceat(b, at, axis=0), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at), np.maximum.reduceat(sh, at), np.where((pmin == pmax) & (pmin >= 0), pmin, -1)))
+            ends = [(np.minimum.reduceat(x, at), np.maximum.reduceat(x, at)) for x in labels]
+            self.levels.append((
+                np.bitwise_or.reduceat(b, at, axis=0), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at), np.maximum.reduceat(sh, at),
+                [np.where((low == high) & (low >= 0), low, -1) for low, high in ends],
+            ))
 
     def _may_link(self, level: int, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
-        b, lo, hi, sh, part = self.levels[level]
-        ok = ~((part[i] == part[j]) & (part[i] >= 0))
-        ok &= (100 * hi[i] >= percent * lo[j]) & (100 * hi[j] >= percent * lo[i])
+        b, lo, hi, sh, labels = self.levels[level]
+        ok = (100 * hi[i] >= percent * lo[j]) & (100 * hi[j] >= percent * lo[i])
+        for x in labels:
+            ok &= ~((x[i] == x[j]) & (x[i] >= 0))
         at = np.flatnonzero(ok)
         common = np.bitwise_count(b[i[at]] & b[j[at]]).sum(axis=1, dtype=np.int64) + np.minimum(sh[i[at]], sh[j[at]])
         # similarity s needs an overlap of s / (1 + s) of both sizes together
@@ -306,40 +322,43 @@ def grouped(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iter
         yield group
 
 
-def candidate_pairs(marks: list[np.ndarray], sizes: np.ndarray, label: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a group's documents that the trees leave: one tree for each width of bitmaps, and one for each two widths
-    over the documents whose sizes can meet, the wider bitmaps folded."""
+def labels_of(values) -> np.ndarray:
+    """Values as labels from 0 on."""
+    return np.unique(np.asarray(values), return_inverse=True)[1].astype(np.int64)
+
+
+def candidate_pairs(marks: list[np.ndarray], sizes: np.ndarray, label: np.ndarray, percent: int, side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a unit's documents, of different labels and sides, that the trees leave: one tree for each width of bitmaps,
+    and one for each two widths over the documents whose sizes can meet, the wider bitmaps folded."""
     width = np.array([len(m) for m in marks])
+    known = [label] if side is None else [label, side]
 
-    def tree(words: np.ndarray, idx: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def tree(words: np.ndarray, idx: np.ndarray, more: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         shared = sizes[idx] - np.bitwise_count(words).sum(axis=1, dtype=np.int64)
-        for i, j in SignatureTree(words, sizes[idx], shared, label[idx]).pairs(percent):
+        for i, j in SignatureTree(words, sizes[idx], sizes[idx], shared, [x[idx] for x in known] + more).pairs(percent):
             yield idx[i], idx[j]
 
     widths = np.unique(width).tolist()
     for k, w in enumerate(widths):
         mine = np.flatnonzero(width == w)
-        yield from tree(np.stack([marks[i] for i in mine]), mine)
+        yield from tree(np.stack([marks[i] for i in mine]), mine, [])
         for v in widths[k + 1 :]:
             other = np.flatnonzero(width == v)
             near = mine[100 * sizes[mine] >= percent * sizes[other].min()]
             far = other[percent * sizes[other] <= 100 * sizes[mine].max()]
             if len(near) and len(far):
-                words = np.stack([marks[i] for i in near] + [np.bitwise_or.reduce(marks[i].reshape(-1, w), axis=0) for i in far])
-                for i, j in tree(words, np.concatenate([near, far])):
-                    cross = width[i] != width[j]
-                    yield i[cross], j[cross]
+                words = np.stack([marks[i] for i in near] + [folded(marks[i], w) for i in far])
+                yield from tree(words, np.concatenate([near, far]), [np.repeat(np.arange(2), [len(near), len(far)])])
 
 
-def links_of(sets: list[np.ndarray], comps: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
-    """Links between different components of a group, as many as join what is linked: pairs already joined are passed over."""
+def links_of(sets: list[np.ndarray], comps: np.ndarray, percent: int, sides: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Links between different components and sides of a unit, as many as join what is linked: pairs already joined are passed over."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    _, label = np.unique(comps, return_inverse=True)
-    label = label.astype(np.int64)
+    label = labels_of(comps)
     if label.max() == 0:
         return
     now = label.copy()
-    for i, j in candidate_pairs([bitmap(s) for s in sets], sizes, label, percent):
+    for i, j in candidate_pairs([bitmap(s) for s in sets], sizes, label, percent, labels_of(sides)):
         apart = now[i] != now[j]
         for x, y in zip(i[apart].tolist(), j[apart].tolist(), strict=True):
             if now[x] == now[y]:
@@ -350,40 +369,124 @@ def links_of(sets: list[np.ndarray], comps: np.ndarray, percent: int) -> Iterato
                 now[now == now[y]] = now[x]
 
 
-def _bitmap_pass(members: DataFrame, percent: int) -> DataFrame:
-    """From (key, comp, n, sid, bits): the (key, comp, n, sid) that a tree leaves a partner for. Only these rows' sets travel."""
+def chunked(members: DataFrame, spec: JoinSpec) -> DataFrame:
+    """From (key, comp, n, sid): (chunk, key, comp, n, sid). Rows are dealt by range, so many tasks share a large group; those
+    without a link go by size, the others by component. A chunk is a part of one group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, key, rows, held = (TaskContext.get().partitionId() << 32) - 1, None, 0, 0
+        for batch in batches:
+            out = []
+            for k, n in zip(batch.column("key").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                if k != key or rows >= spec.chunk_rows or held + n > spec.chunk_shingles:
+                    chunk, key, rows, held = chunk + 1, k, 0, 0
+                rows, held = rows + 1, held + n
+                out.append(chunk)
+            yield _batch(chunk=pa.array(out, pa.int64()), **{c: batch.column(c) for c in ("key", "comp", "n", "sid")})
+
+    order = ["key", "kin", "n", "sid"]
+    ordered = members.withColumn("kin", F.when(F.col("comp") != F.col("sid"), F.col("comp"))).repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(ordered.select("key", "comp", "n", "sid").mapInArrow(tidied(run), "chunk long, key long, comp long, n long, sid long"), "chunks")
+
+
+UNIT = "unit long, side long, comp long, n long, sid long"
+
+
+def _bitmap_pass(units: DataFrame, percent: int) -> DataFrame:
+    """From (unit, side, comp, n, sid, bits): the rows, without bits, that a tree leaves a partner for. Only these rows' sets travel."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in grouped(batches, ("key", "comp", "n", "sid", "bits")):
-            _, label = np.unique(np.array([r[1] for r in group], np.int64), return_inverse=True)
+        for group in grouped(batches, ("unit", "side", "comp", "n", "sid", "bits")):
+            label = labels_of([r[2] for r in group])
             if label.max() == 0:
                 continue
             alive = np.zeros(len(group), bool)
-            for i, j in candidate_pairs([np.frombuffer(r[4], np.uint64) for r in group], np.array([r[2] for r in group], np.int64), label.astype(np.int64), percent):
+            for i, j in candidate_pairs([np.frombuffer(r[5], np.uint64) for r in group], np.array([r[3] for r in group], np.int64), label, percent, labels_of([r[1] for r in group])):
                 alive[i] = alive[j] = True
-            rows = np.array([group[i][:4] for i in np.flatnonzero(alive)], np.int64).reshape(-1, 4)
+            rows = np.array([group[i][:5] for i in np.flatnonzero(alive)], np.int64).reshape(-1, 5)
             if len(rows):
-                yield _batch(**{c: pa.array(rows[:, k]) for k, c in enumerate(("key", "comp", "n", "sid"))})
+                yield _batch(**{c: pa.array(rows[:, k]) for k, c in enumerate(("unit", "side", "comp", "n", "sid"))})
 
-    ordered = members.repartition("key").sortWithinPartitions("key", "comp", "n", "sid")
-    return stored(ordered.mapInArrow(tidied(run), "key long, comp long, n long, sid long"), "alive")
+    ordered = units.repartition("unit").sortWithinPartitions("unit", "comp", "n", "sid").select("unit", "side", "comp", "n", "sid", "bits")
+    return stored(ordered.mapInArrow(tidied(run), UNIT), "alive")
 
 
-def _tree_pass(members: DataFrame, percent: int) -> DataFrame:
-    """From (key, comp, n, sid, set), whole groups in order: links (a, b) that join components of a group."""
+def _root_pass(rows: DataFrame) -> DataFrame:
+    """From (chunk, key, comp, n, sid, bits): each chunk's root (key, chunk, comp or null, lo, hi, bits as wide as its narrowest
+    row's, shared bits at each width up to that, the narrowest first)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in grouped(batches, ("key", "comp", "sid", "set")):
-            sids = [r[2] for r in group]
-            found = [(sids[x], sids[y]) for x, y in links_of([np.frombuffer(r[3], np.uint64) for r in group], np.array([r[1] for r in group], np.int64), percent)]
+        for group in grouped(batches, ("chunk", "key", "comp", "n", "bits")):
+            marks, sizes = [np.frombuffer(r[4], np.uint64) for r in group], np.array([r[3] for r in group], np.int64)
+            width, words, shared = min(len(m) for m in marks), BITS // 64, []
+            while words <= width:
+                bits = np.stack([folded(m, words) for m in marks])
+                shared.append(int((sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)).max()))
+                words *= 2
+            comps = {r[2] for r in group}
+            yield _batch(
+                key=pa.array([group[0][1]], pa.int64()), chunk=pa.array([group[0][0]], pa.int64()), comp=pa.array([comps.pop() if len(comps) == 1 else None], pa.int64()),
+                lo=pa.array(sizes.min(keepdims=True)), hi=pa.array(sizes.max(keepdims=True)), bits=pa.array([np.bitwise_or.reduce(bits, axis=0).tobytes()], pa.binary()), shared=pa.array([shared], pa.list_(pa.int64())),
+            )
+
+    ordered = rows.repartition("chunk").sortWithinPartitions("chunk", "n", "sid").select("chunk", "key", "comp", "n", "bits")
+    return ordered.mapInArrow(tidied(run), "key long, chunk long, comp long, lo long, hi long, bits binary, shared array<long>")
+
+
+def chunk_pairs(roots: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of a group's chunks that the tree over their roots leaves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, ("key", "chunk", "comp", "lo", "hi", "bits", "shared")):
+            marks = [np.frombuffer(r[5], np.uint64) for r in group]
+            words = min(len(m) for m in marks)
+            at = (words * 64 // BITS).bit_length() - 1
+            whole = {c: i for i, c in enumerate({r[2] for r in group} - {None})}
+            label = np.array([whole.get(r[2], -1) for r in group], np.int64)
+            lo, hi, shared = (np.array(x, np.int64) for x in ([r[3] for r in group], [r[4] for r in group], [r[6][at] for r in group]))
+            chunk = np.array([r[1] for r in group], np.int64)
+            for i, j in SignatureTree(np.stack([folded(m, words) for m in marks]), lo, hi, shared, [label]).pairs(percent):
+                yield _batch(a=pa.array(chunk[i]), b=pa.array(chunk[j]))
+
+    ordered = roots.repartition("key").sortWithinPartitions("key", "lo", "chunk")
+    return stored(ordered.mapInArrow(tidied(run), "a long, b long"), "chunkpairs")
+
+
+def _tree_pass(units: DataFrame, percent: int) -> DataFrame:
+    """From (unit, side, comp, n, sid, set): links (a, b) that join components of a unit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, ("unit", "side", "comp", "sid", "set")):
+            sids = [r[3] for r in group]
+            found = [(sids[x], sids[y]) for x, y in links_of([np.frombuffer(r[4], np.uint64) for r in group], np.array([r[2] for r in group], np.int64), percent, np.array([r[1] for r in group], np.int64))]
             if found:
                 x = np.array(found, np.int64)
                 yield _batch(a=pa.array(x.min(axis=1)), b=pa.array(x.max(axis=1)))
 
-    ordered = members.repartition("key").sortWithinPartitions("key", "comp", "n", "sid").select("key", "comp", "sid", "set")
+    ordered = units.repartition("unit").sortWithinPartitions("unit", "comp", "n", "sid").select("unit", "side", "comp", "sid", "set")
     return stored(ordered.mapInArrow(tidied(run), "a long, b long").distinct(), "more")
 
 
+def _tree_links(rest: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
+    """Links between components of the open groups' members (key, comp, n, sid)."""
+    cut = chunked(rest, spec)
+    suspects = lambda rows: joined(texts, rows.select("sid").distinct(), "sid", "left_semi", 16)
+    within = cut.select(F.col("chunk").alias("unit"), F.col("sid").alias("side"), "comp", "n", "sid")
+    alive = _open_groups(_bitmap_pass(within.join(_bitmaps(suspects(within), spec), "sid"), spec.percent), "unit", "side")
+    chunks = cut.groupBy("key", "chunk").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    large = chunks.groupBy("key").agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("c > 1 and lo <> hi").select("key")
+    parts = stored(chunks.join(large, "key", "left_semi").select("chunk"), "parts")
+    if not parts.isEmpty():  # groups of several chunks
+        rows = stored(joined(cut, parts, "chunk", "left_semi", 16), "large")
+        marks = stored(_bitmaps(suspects(rows), spec), "marks")
+        pairs = chunk_pairs(_root_pass(rows.join(marks, "sid")), spec.percent).withColumn("unit", F.xxhash64("a", "b"))
+        sides = pairs.select("unit", F.col("a").alias("chunk")).unionByName(pairs.select("unit", F.col("b").alias("chunk")))
+        across = rows.join(sides, "chunk").select("unit", F.col("chunk").alias("side"), "comp", "n", "sid")
+        alive = alive.unionByName(_open_groups(_bitmap_pass(across.join(marks, "sid"), spec.percent), "unit", "side"))
+    held = _held_sets(suspects(alive), spec)
+    return _tree_pass(alive.join(held, "sid"), spec.percent)
+
+
 # -- components
 
 
@@ -435,10 +538,7 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", t
     labelled = members.join(small_side(first.select(F.col("node").alias("sid"), "comp"), 24), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     labelled = stored(labelled, "members")
     rest = _open_groups(labelled)
-    marks = _bitmaps(joined(texts, rest.select("sid").distinct(), "sid", "left_semi", 16), spec)
-    alive = _open_groups(_bitmap_pass(rest.select("key", "comp", "n", "sid").join(marks, "sid").select("key", "comp", "n", "sid", "bits"), spec.percent))
-    held = _held_sets(joined(texts, alive.select("sid").distinct(), "sid", "left_semi", 16), spec)
-    more = _tree_pass(alive.join(held, "sid"), spec.percent)
+    more = _tree_links(rest, texts, spec)
 
     name = classes.select("sid", "rep")
     edges = links.unionByName(more)
@@ -471,13 +571,17 @@ def _own_text(found: DataFrame, spec: JoinSpec) -> DataFrame:
     return found.select("sid", "body").mapInArrow(tidied(run), "sid long, body string")
 
 
-def _open_groups(members: DataFrame) -> DataFrame:
-    """Members of groups of several components; of groups of the same members, one."""
+def _open_groups(members: DataFrame, key: str = "key", *sides: str) -> DataFrame:
+    """Members of groups of several components; of groups of the same members (and sides), one."""
+
+    def name(seed: int) -> Column:
+        return F.bit_xor(F.xxhash64("sid", *sides, F.lit(seed)))
+
     chosen = (
-        members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_xor(F.xxhash64("sid")).alias("x"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("y"), F.count("*").alias("c"))
-        .where("lo <> hi").groupBy("x", "y", "c").agg(F.min("key").alias("key")).select("key")
+        members.groupBy(key).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), name(0).alias("x"), name(1).alias("y"), F.count("*").alias("c"))
+        .where("lo <> hi").groupBy("x", "y", "c").agg(F.min(key).alias(key)).select(key)
     )
-    return stored(joined(members, chosen, "key", "left_semi", 16), "open")
+    return stored(joined(members, chosen, key, "left_semi", 16), "open")
 
 
 def _bitmaps(texts: DataFrame, spec: JoinSpec) -> DataFrame:

@@ -194,6 +194,27 @@ def test_op5_brute_force(spark, n, percent):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(df, jaccard.JoinSpec(words=n, percent=percent, hot=3)).collect()}
     assert got == brute_components(rows, n, percent)
+    cut = jaccard.join(df, jaccard.JoinSpec(words=n, percent=percent, hot=3, chunk_rows=3, chunk_shingles=150))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in cut.collect()} == got
+
+
+@pytest.mark.parametrize("chunk_shingles", [90, 1 << 21])
+def test_chunks_of_one_group(spark, chunk_shingles):
+    """Documents of one group whose neighbours were not linked: the links are found within chunks and across them."""
+    rng = np.random.default_rng(8)
+    base = [rng.integers(1, 1 << 60, 40, dtype=np.uint64) for _ in range(6)]
+    sets = [np.unique(np.concatenate([base[i % 6][: 40 - k], rng.integers(1, 1 << 60, k, dtype=np.uint64)])) for i, k in enumerate(rng.integers(0, 6, 60))]
+    sizes = [len(s) for s in sets]
+    near = {(a, b) for a in range(60) for b in range(a) if 100 * jaccard.overlap(sets[a], sets[b]) >= 80 * (sizes[a] + sizes[b] - jaccard.overlap(sets[a], sets[b]))}
+    spec = jaccard.JoinSpec(percent=80, chunk_rows=4, chunk_shingles=chunk_shingles)
+    rest = spark.createDataFrame([(7, i, sizes[i], i) for i in range(60)], "key long, comp long, n long, sid long")
+    cut = jaccard.chunked(rest, spec)
+    counts = {r["chunk"]: r["count"] for r in cut.groupBy("chunk").count().collect()}
+    assert sum(counts.values()) == 60 and max(counts.values()) <= 4 and len(counts) >= 15
+    marks = spark.createDataFrame([(i, jaccard.bitmap(s).tobytes()) for i, s in enumerate(sets)], "sid long, bits binary")
+    pairs = {frozenset((r["a"], r["b"])) for r in jaccard.chunk_pairs(jaccard._root_pass(cut.join(marks, "sid")), 80).collect()}
+    chunk = {r["sid"]: r["chunk"] for r in cut.collect()}
+    assert {frozenset((chunk[a], chunk[b])) for a, b in near if chunk[a] != chunk[b]} <= pairs
 
 
 def test_op5(spark):
