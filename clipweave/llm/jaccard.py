@@ -212,8 +212,6 @@ def _group_pass(prefixes: DataFrame, percent: int) -> DataFrame:
 
 def verified(pairs: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
     """The pairs (a, b) of set names whose sets, taken from the texts (sid, body), are similar enough."""
-    left = texts.select(F.col("sid").alias("a"), F.col("body").alias("x"))
-    right = texts.select(F.col("sid").alias("b"), F.col("body").alias("y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "x", "y")):
@@ -226,7 +224,11 @@ def verified(pairs: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
             mask = pa.array(good)
             yield _batch(a=batch.column("a").filter(mask), b=batch.column("b").filter(mask))
 
-    both = pairs.select("a", "b").distinct().join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
+    ends = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+    texts = joined(texts, ends, "sid", "left_semi", 16)
+    left, right = texts.withColumnsRenamed({"sid": "a", "body": "x"}), texts.withColumnsRenamed({"sid": "b", "body": "y"})
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
     return stored(both.mapInArrow(tidied(run), "a long, b long"), "links")
 
 
