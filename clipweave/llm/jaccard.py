@@ -391,26 +391,45 @@ def chunked(members: DataFrame, spec: JoinSpec) -> DataFrame:
     return stored(ordered.select("key", "comp", "n", "sid").mapInArrow(tidied(run), "chunk long, key long, comp long, n long, sid long"), "chunks")
 
 
-UNIT = "unit long, side long, comp long, n long, sid long"
+def merged(part: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The parts (each named by its smallest index) once those of i[k] and j[k] are one, for each k."""
+    while len(i):
+        a, b = part[i], part[j]
+        apart = a != b
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        root = np.arange(len(part))
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(root, up := root[root]):
+            root = up
+        part = root[part]
+    return part
 
 
 def _bitmap_pass(units: DataFrame, percent: int) -> DataFrame:
-    """From (unit, side, comp, n, sid, bits): the rows, without bits, that a tree leaves a partner for. Only these rows' sets travel."""
+    """From (unit, side, comp, n, sid, bits): the rows, without bits, that a tree leaves a partner for. Only these rows' sets
+    travel. Each part of a unit that such pairs hold together is a unit of its own, its sides named by their least sid, so
+    that documents that meet in many groups, each time among other strangers, are compared once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, ("unit", "side", "comp", "n", "sid", "bits")):
             label = labels_of([r[2] for r in group])
             if label.max() == 0:
                 continue
-            alive = np.zeros(len(group), bool)
+            alive, part = np.zeros(len(group), bool), np.arange(len(group))
             for i, j in candidate_pairs([np.frombuffer(r[5], np.uint64) for r in group], np.array([r[3] for r in group], np.int64), label, percent, labels_of([r[1] for r in group])):
                 alive[i] = alive[j] = True
-            rows = np.array([group[i][:5] for i in np.flatnonzero(alive)], np.int64).reshape(-1, 5)
+                part = merged(part, i, j)
+            least: dict[tuple[int, int], int] = {}
+            kept = [(int(part[i]), *group[i][:5]) for i in np.flatnonzero(alive)]
+            for p, _, side, _, _, sid in kept:
+                least[p, side] = min(sid, least.get((p, side), sid))
+            rows = np.array([(unit, p, least[p, side], comp, n, sid) for p, unit, side, comp, n, sid in kept], np.int64).reshape(-1, 6)
             if len(rows):
-                yield _batch(**{c: pa.array(rows[:, k]) for k, c in enumerate(("unit", "side", "comp", "n", "sid"))})
+                yield _batch(**{c: pa.array(rows[:, k]) for k, c in enumerate(("unit", "part", "side", "comp", "n", "sid"))})
 
     ordered = units.repartition("unit").sortWithinPartitions("unit", "comp", "n", "sid").select("unit", "side", "comp", "n", "sid", "bits")
-    return stored(ordered.mapInArrow(tidied(run), UNIT), "alive")
+    found = ordered.mapInArrow(tidied(run), "unit long, part long, side long, comp long, n long, sid long")
+    return stored(found.withColumn("unit", F.xxhash64("unit", "part")).drop("part"), "alive")
 
 
 def _root_pass(rows: DataFrame) -> DataFrame:

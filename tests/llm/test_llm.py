@@ -247,6 +247,31 @@ def test_signature_tree_keeps_every_link():
     assert len({len(jaccard.bitmap(s)) for s in sets}) > 1
 
 
+@given(st.lists(st.tuples(st.integers(0, 19), st.integers(0, 19)), max_size=30), st.integers(1, 4))
+@settings(deadline=None)
+def test_merged_parts_are_components(pairs, calls):
+    part, brute = np.arange(20), list(range(20))
+    for k in range(calls):
+        some = np.array(pairs[k::calls], np.int64).reshape(-1, 2)
+        part = jaccard.merged(part, some[:, 0], some[:, 1])
+    for a, b in pairs:
+        old, new = max(brute[a], brute[b]), min(brute[a], brute[b])
+        brute = [new if x == old else x for x in brute]
+    assert part.tolist() == brute
+
+
+def test_bitmap_pass_names_parts(spark):
+    """Documents that meet in two groups, among other strangers in each, are one unit with one membership."""
+    rng = np.random.default_rng(8)
+    base = np.sort(rng.integers(0, 1 << 62, 100).astype(np.uint64))
+    sets = [base, np.unique(np.append(base[:95], np.uint64(7)))] + [np.unique(rng.integers(0, 1 << 62, 100).astype(np.uint64)) for _ in range(6)]
+    units = [(unit, side, sid, len(sets[sid]), sid, jaccard.bitmap(sets[sid]).tobytes()) for unit, members in ((1, (0, 1, 2, 3)), (2, (0, 1, 4, 5, 6, 7))) for sid in members for side in [sid]]
+    got = jaccard._bitmap_pass(spark.createDataFrame(units, "unit long, side long, comp long, n long, sid long, bits binary"), 80)
+    rows = got.collect()
+    assert sorted((r["side"], r["sid"]) for r in rows) == [(0, 0), (0, 0), (1, 1), (1, 1)]
+    assert len({r["unit"] for r in rows}) == 2 and jaccard._open_groups(got, "unit", "side").count() == 2
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100, 160)] + [(5, 900), (7, 7)], "a long, b long")
     got = {r["node"]: r["comp"] for r in jaccard.components(edges).collect()}
