@@ -488,6 +488,18 @@ def _tree_pass(units: DataFrame, percent: int) -> DataFrame:
     return stored(ordered.mapInArrow(tidied(run), "a long, b long").distinct(), "more")
 
 
+def _families(units: DataFrame, spec: JoinSpec) -> DataFrame:
+    """The units (unit, side, comp, n, sid), those that share documents as one unit with each document once, if it is within a
+    chunk's bounds; else they stay as they are. Pairs of a unit are in a unit as before, and a family's sets travel once."""
+    heads = units.groupBy("unit").agg(F.min("sid").alias("head"))
+    family = components(units.join(heads, "unit").select(F.col("sid").alias("a"), F.col("head").alias("b")))
+    rows = units.select("sid", "comp", "n").distinct().join(family.select(F.col("node").alias("sid"), F.col("comp").alias("unit")), "sid")
+    rows = stored(rows.select("unit", F.col("sid").alias("side"), "comp", "n", "sid"), "families")
+    bounded = stored(rows.groupBy("unit").agg(F.count("*").alias("c"), F.sum("n").alias("n")).where((F.col("c") <= spec.chunk_rows) & (F.col("n") <= spec.chunk_shingles)).select("unit"), "bounded")
+    large = joined(rows, bounded, "unit", "left_anti", 16).select("sid")
+    return joined(rows, bounded, "unit", "left_semi", 16).unionByName(joined(units, large, "sid", "left_semi", 16))
+
+
 def _tree_links(rest: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
     """Links between components of the open groups' members (key, comp, n, sid)."""
     cut = chunked(rest, spec)
@@ -504,6 +516,7 @@ def _tree_links(rest: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
         sides = pairs.select("unit", F.col("a").alias("chunk")).unionByName(pairs.select("unit", F.col("b").alias("chunk")))
         across = rows.join(sides, "chunk").select("unit", F.col("chunk").alias("side"), "comp", "n", "sid")
         alive = alive.unionByName(_open_groups(_bitmap_pass(across.join(marks, "sid"), spec.percent), "unit", "side"))
+    alive = _families(alive, spec)
     held = _held_sets(suspects(alive), spec)
     return _tree_pass(alive.join(held, "sid"), spec.percent)
 

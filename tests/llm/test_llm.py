@@ -247,6 +247,17 @@ def test_signature_tree_keeps_every_link():
     assert len({len(jaccard.bitmap(s)) for s in sets}) > 1
 
 
+def test_families_hold_every_pair(spark):
+    """Units that share documents become one where it is small enough; each pair of a unit stays in some unit."""
+    units = {1: (0, 1), 2: (1, 2), 3: (5, 6), 4: (6, 7), 5: (7, 8), 6: (8, 9)}
+    rows = [(unit, sid, sid, 10, sid) for unit, sids in units.items() for sid in sids]
+    got = jaccard._families(spark.createDataFrame(rows, "unit long, side long, comp long, n long, sid long"), jaccard.JoinSpec(chunk_rows=4)).collect()
+    held = collections.defaultdict(list)
+    for r in got:
+        held[r["unit"]].append(r["sid"])
+    assert sorted(map(sorted, held.values())) == [[0, 1, 2], [5, 6], [6, 7], [7, 8], [8, 9]]
+
+
 @given(st.lists(st.tuples(st.integers(0, 19), st.integers(0, 19)), max_size=30), st.integers(1, 4))
 @settings(deadline=None)
 def test_merged_parts_are_components(pairs, calls):
