@@ -413,12 +413,12 @@ def qc_reasons(spark: SparkSession, d: str) -> DataFrame:
     SELECT o_orderkey, substring(md5(o_orderkey::VARCHAR), 1, 8) || '_' || lpad(i::VARCHAR, 3, '0') || '_' || o_orderpriority || '.mp4' AS name
     FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders) WHERE o_orderstatus <> 'F' AND i < 1000""")
 def export_names(spark: SparkSession, d: str) -> DataFrame:
-    """Numbers are given before faulty clips go, so they have gaps."""
+    """Numbers are given before faulty clips go, so they have gaps; from 1000 up they have more than three digits. The SQL stops at 999."""
     from pyspark.sql import Window
 
     numbered = table(spark, d, "orders").withColumn("i", F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")))
-    name = F.concat(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 8), F.lit("_"), F.lpad(F.col("i").cast("string"), 3, "0"), F.lit("_"), F.col("o_orderpriority"), F.lit(".mp4"))
-    return numbered.where("o_orderstatus <> 'F' AND i < 1000").select("o_orderkey", name.alias("name"))
+    name = F.concat(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 8), F.lit("_"), F.format_string("%03d", "i"), F.lit("_"), F.col("o_orderpriority"), F.lit(".mp4"))
+    return numbered.where("o_orderstatus <> 'F'").select("o_orderkey", name.alias("name"))
 
 
 # -- choosing

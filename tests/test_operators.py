@@ -173,6 +173,15 @@ def test_sources_and_stream(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "ledger")).count() == 2
 
 
+def test_export_names_from_1000_up(spark, tmp_path):
+    from clipweave.plans.queries import QUERIES
+
+    rows = spark.range(1, 1203).selectExpr("id AS o_orderkey", "7L AS o_custkey", "IF(id = 1001, 'F', 'O') AS o_orderstatus", "'2-HIGH' AS o_orderpriority")
+    rows.write.parquet(str(tmp_path / "orders.parquet"))
+    got = {r["o_orderkey"]: r["name"][8:] for r in QUERIES["export_names"](spark, str(tmp_path)).collect()}
+    assert got == {i: f"_{i:03d}_2-HIGH.mp4" for i in range(1, 1203) if i != 1001}
+
+
 def test_queries_match_sql(spark):
     """Every query that has SQL, on the smallest tables."""
     import duckdb
