@@ -32,9 +32,14 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
 
 
+def piece_hash(piece: Column, salt: int) -> Column:
+    """The salt comes first: xxhash64 seeds each argument's hash with that of those before it."""
+    return F.xxhash64(F.lit(salt), piece)
+
+
 def lanes(text: Column) -> Column:
     """struct<n: pieces, v: array of LANES / 2 longs, two lane sums in each>."""
-    hashes = F.transform(F.array(pieces(text)), lambda p: F.struct(F.transform(p, lambda x: F.xxhash64(x, F.lit(1))).alias("a"), F.transform(p, lambda x: F.xxhash64(x, F.lit(2))).alias("b")))
+    hashes = F.transform(F.array(pieces(text)), lambda p: F.struct(F.transform(p, lambda x: piece_hash(x, 1)).alias("a"), F.transform(p, lambda x: piece_hash(x, 2)).alias("b")))
 
     def total(values: Column, j: int) -> Column:
         return F.aggregate(values, F.lit(0).cast("long"), lambda acc, h: acc + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(_TWO)))

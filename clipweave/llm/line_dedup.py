@@ -40,7 +40,8 @@ def line_keys(text: Column) -> Column:
 
 
 def key_hashes(key: Column) -> Column:
-    return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(key, F.lit("second")).alias("h2"))
+    """The salt comes first: xxhash64 seeds each argument's hash with that of those before it."""
+    return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("second"), key).alias("h2"))
 
 
 class LineRuns:

@@ -362,6 +362,29 @@ def test_op7(spark, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def xxhash_twins(seed):
+    """Two strings of 16 bytes that xxhash64 doesn't tell apart from this seed."""
+    full, p1, p2, p4, p5 = (1 << 64) - 1, 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+    turned = lambda x, n: (x << n | x >> (64 - n)) & full
+    mixed = lambda k: turned(k * p2 & full, 31) * p1 & full
+    unmixed = lambda h: turned(h * pow(p1, -1, 1 << 64) & full, 33) * pow(p2, -1, 1 << 64) & full
+    after = lambda k: (turned((seed + p5 + 16 & full) ^ mixed(k), 27) * p1 + p4) & full
+    return [b"".join(x.to_bytes(8, "little") for x in two) for two in ((1, 3), (2, unmixed(mixed(3) ^ after(1) ^ after(2))))]
+
+
+def test_second_hashes_are_not_made_of_first_ones(spark):
+    """Of keys and pieces that clash in one 64-bit hash, the other hash still differs."""
+    salts = spark.range(1).select(*(F.xxhash64(F.lit(i)) for i in (1, 2))).first()
+    hashes = F.struct("key.*"), F.struct(*(fingerprint.piece_hash(F.col("x"), i).alias(f"h{i}") for i in (1, 2)))
+    for seed, clash in ((42, "h1"), (salts[0] % (1 << 64), "h1"), (salts[1] % (1 << 64), "h2")):
+        rows = spark.createDataFrame([(bytearray(x),) for x in xxhash_twins(seed)], "x binary").withColumn("key", line_dedup.key_hashes(F.col("x")))
+        a, b = rows.select(*(h.alias(f"s{i}") for i, h in enumerate(hashes))).collect()
+        if seed == 42:
+            assert a["s0"][clash] == b["s0"][clash] and a["s0"]["h2"] != b["s0"]["h2"] and a["s1"] != b["s1"]
+        else:
+            assert a["s1"][clash] == b["s1"][clash] and a["s1"] != b["s1"]
+
+
 def test_line_runs_anti_join_and_compact(spark):
     store = line_dedup.LineRuns(spark, fanout=2)
     batch = lambda rows: spark.createDataFrame(rows, "doc_id long, h1 long, h2 long")
