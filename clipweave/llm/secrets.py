@@ -66,7 +66,7 @@ def features(kind: str, value: str, before: str, after: str, path: str) -> list[
     near = set(re.findall(r"(?<![\w.@-])[a-z0-9]+(?!\.?[\w@])", f"{before[-AROUND:]} {after[:AROUND]}".lower()))
     covered = np.zeros(len(low), bool)
     for size in range(3, 10):
-        for i in range(min(len(low), 200) - size + 1):
+        for i in range(len(low) - size + 1):
             if low[i : i + size] in WORDS:
                 covered[i : i + size] = True
     _, counts = np.unique(codes, return_counts=True)
@@ -194,6 +194,17 @@ def labelled_findings(n: int = 3000, seed: int = 5) -> list[tuple[str, str, str,
             out.append(("mixed", "".join(word().title() for _ in range(6)) + "2", before, after, path, 0))
         else:
             out.append(("assigned", pick(hexa, 20), before + "token = ", after, "tests/fixtures/sample.json", 0))
+    lexicon = sorted(WORDS)
+    for i in range(n // 15):  # longer than 200 characters; drawn last, so that the others stay as they are
+        before, after, path = prose() + " ", " " + prose(), ["", "src0", "app/config.py", "deploy/prod.env", "blog"][rng.integers(5)]
+        size, words = int(rng.integers(201, 801)), [lexicon[j] for j in rng.integers(0, len(lexicon), 250)]
+        near = ["token=", "secret: ", "password=", "api_key: "][rng.integers(4)]
+        if i % 2:
+            out.append(("assigned", pick(alnum, size), before + near, after, path, 1))
+        elif i % 4:
+            out.append(("assigned", ["/", "-", "_"][rng.integers(3)].join(words)[:size], before + near, after, path, 0))
+        else:
+            out.append(("mixed", "".join(w.title() for w in words)[: size - 1] + "2", before, after, path, 0))
     return out
 
 
