@@ -31,10 +31,9 @@ BATCH = 96
 
 @dataclass(frozen=True)
 class TrainSpec:
-    """The training sample's bound: about docs_per_lang documents of each language, windows_per_doc of each."""
+    """The training sample's bound: about docs_per_lang documents of each language, windows_per_doc of each. All languages found are learned."""
 
     docs_per_lang: int = 500
-    max_langs: int = 64
     windows_per_doc: int = 3
     epochs: int = 6
     rate: float = 0.01
@@ -139,13 +138,12 @@ def train(windows: np.ndarray, labels: list[str], spec: TrainSpec) -> ByteNet:
 def sample(docs: DataFrame, spec: TrainSpec, id_col: str, text_col: str, lang_col: str) -> tuple[np.ndarray, list[str]]:
     """A bounded, repeatable sample of labelled windows, about as many documents of each language."""
     named = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    counts = named.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(spec.max_langs).collect()
+    counts = named.groupBy(lang_col).count().collect()
     if not counts:
         return np.zeros((0, WINDOW), np.uint8), []
     draw = F.pmod(F.xxhash64(F.lit(spec.seed), F.col(id_col), F.col(text_col)), F.lit(1 << 30)) / float(1 << 30)
-    chance = F.lit(0.0)
-    for lang, n in counts:
-        chance = F.when(F.col(lang_col) == lang, min(1.0, spec.docs_per_lang / n)).otherwise(chance)
+    chances = F.create_map(*(F.lit(x) for lang, n in counts for x in (lang, min(1.0, spec.docs_per_lang / n))))
+    chance = F.try_element_at(chances, F.col(lang_col))
     each = spec.windows_per_doc
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +162,7 @@ def sample(docs: DataFrame, spec: TrainSpec, id_col: str, text_col: str, lang_co
 
     key = F.xxhash64(F.col(id_col), F.col(text_col)).bitwiseAND(F.lit((1 << 40) - 1))
     chosen = named.where(draw < chance).select(key.alias("key"), F.col(text_col).cast("string"), F.col(lang_col).cast("string"))
-    rows = chosen.mapInArrow(tidied(windows), "key long, lang string, bytes binary").orderBy("key", "lang", "bytes").limit(spec.docs_per_lang * spec.max_langs * each).collect()
+    rows = chosen.mapInArrow(tidied(windows), "key long, lang string, bytes binary").orderBy("key", "lang", "bytes").limit(spec.docs_per_lang * max(64, 2 * len(counts)) * each).collect()
     return np.array([np.frombuffer(r["bytes"], np.uint8) for r in rows]).reshape(-1, WINDOW), [r["lang"] for r in rows]
 
 

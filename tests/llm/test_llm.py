@@ -82,6 +82,12 @@ def test_op2_odd(spark, odd, empty):
     assert langid.predict(empty.drop("score", "lang_pred"), None).count() == 0
 
 
+def test_all_languages_are_sampled(spark):
+    rows = spark.createDataFrame([(i, f"text {i} of language {i % 90}", f"l{i % 90:02d}") for i in range(180)], "doc_id long, text string, lang string")
+    windows, labels = langid.sample(rows, langid.TrainSpec(), "doc_id", "text", "lang")
+    assert len(windows) == 180 and set(labels) == {f"l{i:02d}" for i in range(90)}
+
+
 def test_compiled_network_is_the_network():
     rng = np.random.default_rng(1)
     windows = rng.integers(0, 256, (20, langid.WINDOW), dtype=np.uint8)
