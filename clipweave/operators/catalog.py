@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clipweave import config
 from clipweave.functions.text import like_any, suffix
+from clipweave.llm.common import extended, new_path, stored
 
 
 def duplicate_groups(files: DataFrame, digest: str, order: str) -> DataFrame:
@@ -33,16 +34,22 @@ def unprocessed(sources: DataFrame, ledger: DataFrame, key: str, failed) -> Data
     return sources.join(done, key, "left_anti")
 
 
-def tree_paths(edges: DataFrame, node: str, parent: str, name: str, levels: int = 64) -> DataFrame:
-    """(node, path, depth): names from the root, by one self-join a level until a level is empty."""
-    spark, rest = edges.sparkSession, edges.select(node, parent, name)
-    rest.createOrReplaceTempView("clipweave_tree")
-    return spark.sql(f"""
-        WITH RECURSIVE walk(node, path, depth) MAX RECURSION LEVEL {levels} AS (
-            SELECT {node}, CAST({name} AS STRING), 0 FROM clipweave_tree WHERE {parent} IS NULL
-            UNION ALL
-            SELECT t.{node}, concat(w.path, '/', t.{name}), w.depth + 1 FROM clipweave_tree t JOIN walk w ON t.{parent} = w.node)
-        SELECT * FROM walk""")
+def tree_paths(edges: DataFrame, node: str, parent: str, name: str) -> DataFrame:
+    """(node, path, depth): names from the root, by one self-join a level until a level is empty; levels are stored. A cycle
+    below a root, which would have no end, is an error."""
+    spark = edges.sparkSession
+    rest = stored(edges.select(F.col(node).alias("node"), F.col(parent).alias("parent"), F.col(name).cast("string").alias("name")), "edges")
+    most, path, depth = rest.where("parent IS NOT NULL").count(), new_path(spark, "tree"), 0
+    level = rest.where("parent IS NULL").select("node", F.col("name").alias("path"))
+    while True:
+        level.write.parquet(f"{path}/depth={depth}")
+        level = spark.read.schema(level.schema).parquet(f"{path}/depth={depth}")
+        if level.isEmpty():
+            return spark.read.schema(extended(level.schema, depth="int")).parquet(path).select("node", "path", "depth")
+        if depth > most:
+            raise ValueError("the tree has a cycle below a root")
+        above = level.select(F.col("node").alias("parent"), F.col("path").alias("above"))
+        level, depth = rest.join(above, "parent").select("node", F.concat("above", F.lit("/"), "name").alias("path")), depth + 1
 
 
 def ranked(rows: DataFrame, keys: list[str], order: list, most: int) -> DataFrame:

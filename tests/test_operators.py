@@ -116,6 +116,14 @@ def test_catalog(spark):
     assert got == {1: "kept", 2: "duplicate", 3: "junk", 4: "document", 5: "kept", 6: "junk", 7: "kept", 8: "kept"}
 
 
+def test_tree_paths_of_any_depth(spark):
+    kind = "node int, parent int, name string"
+    got = {r["node"]: (r["path"], r["depth"]) for r in catalog.tree_paths(spark.createDataFrame([(i, i - 1 if i else None, f"n{i}") for i in range(70)], kind), "node", "parent", "name").collect()}
+    assert got == {i: ("/".join(f"n{j}" for j in range(i + 1)), i) for i in range(70)}
+    with pytest.raises(ValueError, match="cycle"):
+        catalog.tree_paths(spark.createDataFrame([(1, None, "a"), (2, 1, "b"), (1, 2, "a")], kind), "node", "parent", "name")
+
+
 def test_resume(spark):
     ledger = spark.createDataFrame([("abc", "done"), ("bad", "failed"), ("", "done"), ("short", "skipped_short")], "md5 string, status string")
     sources = spark.createDataFrame([("abc",), ("bad",), ("",), ("short",), ("new",), (None,)], "md5 string")
