@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -45,10 +45,21 @@ def decisions(spark: SparkSession, path: str) -> DataFrame:
 
 def task_form(spark: SparkSession, path: str) -> DataFrame:
     """(item, answer) of a CSV form with the columns item, plan, fill: what was filled in, else the plan."""
-    rows = spark.read.csv(path, header=True).select("item", "plan", "fill")
+    rows = spark.read.csv(path, header=True, multiLine=True).select("item", "plan", "fill")
     return rows.select(F.trim("item").alias("item"), F.coalesce(F.nullif(F.trim("fill"), F.lit("")), F.trim("plan")).alias("answer")).where("item <> ''")
 
 
+def row_list(answer: Column, n: int | Column) -> Column:
+    """The rows, numbered from 1, that an answer lists, split at commas of both widths and new lines, in its order; parts that
+    are no number or not among n rows are left out. An answer without numbers means all rows."""
+    n = F.lit(n).cast("bigint") if isinstance(n, int) else n.cast("bigint")
+    parts = F.transform(F.split(F.coalesce(answer, F.lit("")), r"[,\uFF0C\r\n]"), lambda x: F.btrim(F.translate(x, "０１２３４５６７８９", "0123456789"), F.lit(" \t\u3000")))
+    digits = F.filter(parts, lambda x: x.rlike("^[0-9]+$"))
+    kept = F.filter(F.transform(digits, lambda x: x.try_cast("bigint")), lambda i: (i > 0) & (i <= n))
+    every = F.when(n > 0, F.sequence(F.lit(1).cast("bigint"), F.greatest(n, F.lit(1)))).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(digits) == 0, every).otherwise(kept)
+
+
 def usage(spark: SparkSession, path: str) -> DataFrame:
     """(key, n) of a JSON object of counts; what can't be read counts as empty."""
     counts = F.from_json("value", "map<string,bigint>")

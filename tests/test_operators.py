@@ -162,6 +162,14 @@ def test_overlap_join(spark):
     assert got == {0: "x", 1: "y", 2: ""}
 
 
+def test_row_list(spark, tmp_path):
+    from clipweave import sources
+
+    (tmp_path / "form.csv").write_text('item,plan,fill\na,all,"3, 1，2\n9\n 4 \nx,0,99999999999999999999"\nb,all,\nc,1,7\n')
+    got = {r["item"]: r["rows"] for r in sources.task_form(spark, str(tmp_path / "form.csv")).select("item", sources.row_list(F.col("answer"), 5).alias("rows")).collect()}
+    assert got == {"a": [3, 1, 2, 4], "b": [1, 2, 3, 4, 5], "c": []}
+
+
 def test_sources_and_stream(spark, tmp_path):
     from clipweave import sources, streaming
 
