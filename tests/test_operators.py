@@ -155,6 +155,18 @@ def test_seeded_plans(spark):
         assert mine[0][2] == "c0" and sum(r[4] for r in mine[1:]) >= 20 and all(r[3] % 10 for r in mine)
 
 
+def test_seeded_plans_count_earlier_uses(spark):
+    clips = [(f"c{i}", i * 10 + j, f"s{i}", 5.0, j) for i in range(3) for j in range(3)]
+    df = spark.createDataFrame(clips, "category string, clip_id bigint, source string, duration double, usage bigint")
+    seeds, uses = [5, 3, 9, 1, 7, 2], {c[1]: c[4] for c in clips}
+    got = [tuple(r) for r in planner.seeded_plans(df, seeds, "c0", 10.0).collect()]
+    for seed in seeds:
+        mine = [r[3] for r in got if r[0] == seed]
+        assert len(mine) == 3 and all(uses[c] == min(uses[c // 10 * 10 + j] for j in range(3)) for c in mine)
+        for c in mine:
+            uses[c] += 1
+
+
 def test_overlap_join(spark):
     segments = spark.createDataFrame([(1, 0, 0, 5000), (1, 1, 5000, 12000), (1, 2, 20000, 21000)], "k int, seg_id int, s bigint, e bigint")
     spoken = spark.createDataFrame([(1, 7, 4000, 5500, "x"), (1, 8, 6000, 7000, "y")], "k int, sent_id int, ss bigint, se bigint, said string")
