@@ -195,7 +195,7 @@ def labelled_findings(n: int = 3000, seed: int = 5) -> list[tuple[str, str, str,
         else:
             out.append(("assigned", pick(hexa, 20), before + "token = ", after, "tests/fixtures/sample.json", 0))
     lexicon = sorted(WORDS)
-    for i in range(n // 15):  # longer than 200 characters; drawn last, so that the others stay as they are
+    for i in range(n // 60):  # longer than 200 characters; drawn last, so that the others stay as they are
         before, after, path = prose() + " ", " " + prose(), ["", "src0", "app/config.py", "deploy/prod.env", "blog"][rng.integers(5)]
         size, words = int(rng.integers(201, 801)), [lexicon[j] for j in rng.integers(0, len(lexicon), 250)]
         near = ["token=", "secret: ", "password=", "api_key: "][rng.integers(4)]

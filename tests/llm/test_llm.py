@@ -148,7 +148,7 @@ def test_long_candidates_are_covered_whole():
     slug = "/".join(["password", "setting", "response", "private", "example"] * 20)
     coverage = secrets.features("assigned", slug, "token=", "", "")[3]
     assert len(slug) > 800 and coverage == sum(c != "/" for c in slug) / len(slug)
-    forest, long = secrets.fit(), [f for f in secrets.labelled_findings(900, seed=98) if len(f[1]) > 200]
+    forest, long = secrets.fit(), [f for f in secrets.labelled_findings(3000, seed=98) if len(f[1]) > 200]
     score = forest.score(np.array([secrets.features(*f[:5]) for f in long]))
     assert len(long) >= 50 and np.mean((score >= 0.5) == np.array([f[5] == 1 for f in long])) > 0.97
     assert forest.score(np.array([secrets.features("assigned", slug, "token=", "", "")]))[0] < 0.5
