@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clipweave import config
 from clipweave.functions.text import like_any, suffix
-from clipweave.llm.common import extended, new_path, stored
+from clipweave.storage import extended, new_path, stored
 
 
 def duplicate_groups(files: DataFrame, digest: str, order: str) -> DataFrame:
