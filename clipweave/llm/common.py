@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
 import gc
-import tempfile
-import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from clipweave.storage import drop, extended, new_path, shared_dir, stored, written  # noqa: F401
 
 #: Largest table, in estimated bytes, that a helper here sends to every executor.
 BROADCAST_LIMIT = 32 << 20
@@ -19,65 +17,11 @@ BROADCAST_LIMIT = 32 << 20
 #: The id that stands for a null id inside an operator (results carry the null).
 NULL_ID = -(1 << 63)
 
-_written: set[str] = set()
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        context = spark.sparkContext
-        current = context._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
-        found = tempfile.mkdtemp(prefix="clipweave-")
-        context.setCheckpointDir(found)
-        return context._jsc.sc().getCheckpointDir().get()
-    return found
-
-
-def new_path(spark: SparkSession, tag: str) -> str:
-    path = f"{shared_dir(spark)}/clipweave-{uuid.uuid4().hex}-{tag}"
-    _written.add(path)
-    return path
-
-
-def stored(df: DataFrame, tag: str, partition_by: str | None = None) -> DataFrame:
-    """df written as Parquet into the shared folder and read again: a cut of the lineage that outlives executors."""
-    spark = df.sparkSession
-    path = new_path(spark, tag)
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.clipweave_path = path
-    return out
-
-
-def drop_stored(spark: SparkSession, path: str) -> None:
-    """Deletes a table of stored() that no later plan reads."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    _written.discard(path)
-
-
-def _at_exit() -> None:
-    spark = SparkSession.getActiveSession()
-    if spark is not None:
-        for path in list(_written):
-            try:
-                drop_stored(spark, path)
-            except Exception:  # the JVM may be gone already
-                return
-
-
-atexit.register(_at_exit)
-
-
 def tidied(run):
     """run for mapInArrow; when a task is over, its worker, which the next task will use, gives free memory back."""
 
@@ -95,9 +39,12 @@ def tidied(run):
     return wrapped
 
 
-def extended(schema: T.StructType, **kinds: str) -> T.StructType:
-    """A copy of the schema with more columns, kinds as DDL."""
-    return T.StructType([*schema.fields, *T.StructType.fromDDL(", ".join(f"{k} {v}" for k, v in kinds.items())).fields])
+def fresh(df: DataFrame, name: str) -> str:
+    """A name like the given one that no column of df has, letter case aside."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def id_key(column: str = "doc_id") -> Column:
@@ -115,7 +62,9 @@ def small_side(df: DataFrame, row_bytes: int, limit: int = BROADCAST_LIMIT) -> D
 
 
 def joined(left: DataFrame, right: DataFrame, on, how: str, row_bytes: int) -> DataFrame:
-    return left.join(small_side(right, row_bytes), on, how)
+    """A join that broadcasts a counted small right side; the right side is stored, so that it is not made twice."""
+    held = right if getattr(right, "clipweave_path", None) else stored(right, "side")
+    return left.join(small_side(held, row_bytes), on, how)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -1,68 +1,83 @@
 """N-gram Jaccard join of whole texts with signature trees; exact, with connected components.
 
 Sets. A document's set holds the 64-bit hashes of its word shingles. Documents with the same set (128 bits
-of it) are one class from the start, so copies never meet in pairs; each batch of texts passes on a set once.
+of it) are one class from the start, so copies never meet in pairs; a block of texts passes on a set once.
 
-Groups. Two sets of similarity t or more must share a shingle among the first n - ceil(t n) + 1 of each, in
-any fixed order of all shingles. The order puts shingles counted often last, so common passages only
-group documents that consist of them. A group is split by signature trees, below.
+Families. Two sets of similarity t or more must share a shingle among the first n - ceil(t n) + 1 of each, in
+any fixed order of all shingles. The order puts rare shingles first: those whose hash is under a fixed bound are
+counted over all documents, by sending owners of hash ranges Golomb-coded messages and getting each shingle's
+level (the logarithm of its count) back; the others come last. A shingle that only one set has can't be shared,
+so only rows of shared ones are shuffled. Sets held together by shared first shingles are a family; a link never
+leaves one.
 
-Links. First, neighbours of each group (ordered by a minhash and size) are verified; this joins most
-near-copies without expanding groups into pairs. Then each group that still holds several components is cut,
-by range, into chunks of bounded rows. Each chunk goes to a signature tree, and the chunks' roots to a tree of
-their group, which leaves the pairs of chunks to look into: no task holds more than two chunks and a group's
-roots. Leaves are documents, nodes hold the OR of their shingle bitmaps, their range of sizes and their
+Links. A family's sets are ordered by a minhash and cut, by range, into chunks of bounded rows; a chunk goes to a
+signature tree. Leaves are documents, nodes hold the OR of their shingle bitmaps, their range of sizes and their
 component if it is but one. A dual traversal from the root drops node pairs of one component, of sizes too far
 apart, or whose largest possible overlap (common bits, plus shingles that share bits) is too small. Remaining
-pairs are verified on their sets, unless a link found before has joined their components. No pair across
-components is dropped otherwise, so no link is lost, nor is any cap set: what the order can't spread, the trees
-prune.
+pairs are verified on their sets, unless a link found before has joined their components. A family of one chunk
+is done then. Of larger ones, one set for each component goes through further rounds in other orders, which joins
+most components of near copies at linear cost. What is still apart is looked into exactly: chunks, the roots of
+their trees in a tree of the family, and the pairs of chunks that this tree leaves. No pair across components is
+dropped otherwise, so no link is lost, nor is any cap set.
 
 Components are labelled by the smallest doc_id with alternating large-star and small-star steps.
 
 Nulls: a null text is the empty text; documents without words have an empty set and link with nothing. A
 null doc_id counts as an id below all others. Rows that share a doc_id count as one document with several
-texts. An empty table gives an empty result; other columns are ignored.
+texts. Repeated rows and ties need no order. A long text is worked on alone, in memory of some ten times its size.
+An empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipweave.llm.common import NULL_ID, id_key, joined, small_side, stored, text_of, tidied
+from clipweave.llm.common import NULL_ID, fresh, id_key, joined, partitions, small_side, stored, text_of, tidied
+from clipweave.llm.exact_dedup import golomb_decode, golomb_encode
 from clipweave.llm.shingles import all_sets, mixed, slices
 
-#: Bytes of text whose shingles are counted together.
-COUNTED = 16 << 20
+#: Bytes of text whose sets are made together; offered hashes of a block; bits of the slot of an offered hash beyond those
+#: that tell all of them apart.
+SLICE, BLOCK, SPARE = 4 << 20, 1 << 19, 7
 #: Bits of the smallest bitmap; children of a tree node; node pairs looked at together.
 BITS, FANOUT, TOGETHER = 512, 8, 8192
+#: Orders in which a family's sets meet, one a round.
+ORDERS = 3
 SIGNED = np.int64
 
 
 @dataclass(frozen=True)
 class JoinSpec:
-    """words: of a shingle; percent: least similarity. A shingle counted hot times or more, in batches that have it
-    hot_local times or more, is ordered late, by the logarithm of its count; at most hot_most of them, the most
-    frequent (this only orders, it drops nothing). chunk_rows, chunk_shingles: most rows of a chunk of a group, and most
-    shingles of its sets together (a larger set is a chunk of its own); all pairs of chunks that can link are looked into."""
+    """words: of a shingle; percent: least similarity. chunk_rows, chunk_shingles: most rows of a chunk of a family, and most
+    shingles of its sets together (a larger set is a chunk of its own); all pairs of chunks that can link are looked into.
+    owner_values: hashes that an owner should get. name_bits: of a set's first name (fewer only in tests, to make names clash)."""
 
     words: int = 5
     percent: int = 80
-    hot: int = 6
-    hot_local: int = 2
-    hot_most: int = 1 << 20
     chunk_rows: int = 512
     chunk_shingles: int = 1 << 21
+    owner_values: int = 1 << 21
+    name_bits: int = 64
 
+    @property
+    def offered(self) -> np.uint64:
+        """Shingles up to this hash are counted: two and a half times as many as a prefix holds."""
+        return np.uint64(min(1.0, 0.025 * (100 - self.percent)) * ((1 << 64) - (1 << 12)))
 
-def set_names(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def prefix(self, sizes: np.ndarray) -> np.ndarray:
+        """How many first shingles a set passes on."""
+        return sizes - -(-self.percent * sizes // 100) + 1
+
+
+def set_names(sets: list[np.ndarray], bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit names of each set (0 for the empty set)."""
     a, b = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
     full = np.array([i for i, s in enumerate(sets) if len(s)], np.int64)
@@ -72,7 +87,12 @@ def set_names(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         a[full] = np.add.reduceat(mixed(whole ^ np.uint64(0xA5A5)), starts)
         b[full] = np.add.reduceat(mixed(whole ^ np.uint64(0xC3C3C3)), starts)
     size = np.array([len(s) for s in sets], np.uint64)
-    return mixed(a + size), mixed(b + size)
+    return mixed(a + size) >> np.uint64(64 - bits), mixed(b + size)
+
+
+def settled(a: np.ndarray, b: np.ndarray, clashed: np.ndarray) -> np.ndarray:
+    """The names that classes go by: the first one, or, where different sets share it, one made of both."""
+    return np.where(np.isin(a, clashed), mixed(a ^ mixed(b)), a) if len(clashed) else a
 
 
 def overlap(x: np.ndarray, y: np.ndarray) -> int:
@@ -94,142 +114,120 @@ def _long(x) -> pa.Array:
     return pa.array(np.asarray(x).astype(np.uint64).view(SIGNED) if getattr(x, "dtype", None) == np.uint64 else np.asarray(x, np.int64))
 
 
-def _distinct(sets, names) -> list[int]:
-    """Indices of the first of each non-empty set."""
-    seen, out = set(), []
-    for i, name in enumerate(names.tolist()):
-        if len(sets[i]) and name not in seen:
-            seen.add(name)
-            out.append(i)
-    return out
+NAMED = "kind int, key long, a long, b long, n long, sets binary, more binary, hashes binary"
 
 
 def _name_pass(rows: DataFrame, spec: JoinSpec) -> DataFrame:
-    """kind 0: (doc_id, set name, second name, size); kind 1: (shingle, times) that a batch's distinct sets have often."""
+    """kind 0: (key, names a and b, size n) of each row. kind 1: blocks of distinct sets; key names the block; sets: a, b, size, how
+    many offered and how many further hashes for each set; hashes: the offered ones; more: what a prefix may take after them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "body", most=COUNTED)):
-            keys, held = batch.column("key").to_numpy(zero_copy_only=False), []
-            for row, sets in all_sets(batch.column("body"), spec.words):
-                a, b = set_names(sets)
-                n = len(sets)
-                yield _batch(kind=pa.array(np.zeros(n, np.int32)), a=_long(keys[row : row + n]), b=_long(a), c=_long(b), n=pa.array([len(s) for s in sets], pa.int64()))
-                held += [sets[i] for i in _distinct(sets, a)]
-            if held:
-                values, counts = np.unique(np.concatenate(held), return_counts=True)
-                often = counts >= spec.hot_local
-                m = int(often.sum())
-                if m:
-                    yield _batch(kind=pa.array(np.ones(m, np.int32)), a=_long(values[often]), b=_long(np.zeros(m)), c=_long(np.zeros(m)), n=_long(counts[often].astype(np.int64)))
+        block, seen, held, rest, about, size = TaskContext.get().partitionId() << 24, set(), [], [], [], 0
 
-    return stored(rows.mapInArrow(tidied(run), "kind int, a long, b long, c long, n long"), "sets", partition_by="kind")
-
-
-def _prefix_pass(rows: DataFrame, spec: JoinSpec, hot: np.ndarray, level: np.ndarray) -> DataFrame:
-    """(shingle, aux: minhash and size, sid) for the first shingles of each batch's distinct sets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: set[int] = set()
-            for _, sets in all_sets(batch.column("body"), spec.words):
-                names, _ = set_names(sets)
-                mine = [i for i in _distinct(sets, names) if int(names[i]) not in seen]
-                if not mine:
-                    continue
-                seen.update(int(names[i]) for i in mine)
-                sizes = np.array([len(sets[i]) for i in mine])
-                whole = np.concatenate([sets[i] for i in mine])
-                starts = np.cumsum(sizes) - sizes
-                late = np.zeros(len(whole), np.int8)
-                if len(hot):
-                    spot = np.minimum(np.searchsorted(hot, whole), len(hot) - 1)
-                    late = np.where(hot[spot] == whole, level[spot], 0)
-                least = np.minimum.reduceat(mixed(whole ^ np.uint64(0x777)), starts) >> np.uint64(33)
-                take = sizes - -(-spec.percent * sizes // 100) + 1
-                out = []
-                for s, n, p in zip(starts.tolist(), sizes.tolist(), take.tolist(), strict=True):
-                    flags = late[s : s + n]
-                    if flags.any():
-                        out.append(whole[s + np.argsort(flags, kind="stable")[:p]])
-                    else:
-                        out.append(whole[s : s + p])
-                aux = (least.astype(np.int64) << 32) | sizes
-                yield _batch(key=_long(np.concatenate(out)), aux=_long(np.repeat(aux, take)), sid=_long(np.repeat(names[mine], take)))
-
-    return rows.select("body").mapInArrow(tidied(run), "key long, aux long, sid long")
-
-
-def _group_pass(prefixes: DataFrame, percent: int) -> DataFrame:
-    """Reads groups in order. kind 0: neighbours (a, b) to verify; kind 1: members (key, sid, n) of groups of three or more."""
+        def out() -> pa.RecordBatch:
+            data = [np.array(about, np.uint64).reshape(-1, 5), np.concatenate(rest), np.concatenate(held)]
+            one = [pa.array([None], pa.int64())] * 3
+            return pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([block], pa.int64()), *one, *(pa.array([x.tobytes()], pa.binary()) for x in data)], names=names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told: set[tuple[int, int]] = set()
-        tail = np.zeros((0, 3), np.int64)  # at most two rows of the group that the last batch ended in
-        tail_new: list[bool] = []
+        names = [x.split()[0] for x in NAMED.split(", ")]
+        for batch in (part for whole in batches for part in slices(whole, "body", most=SLICE)):
+            keys = batch.column("key").to_numpy(zero_copy_only=False)
+            for row, sets in all_sets(batch.column("body"), spec.words):
+                a, b = set_names(sets, spec.name_bits)
+                n = len(sets)
+                sizes = np.array([len(s) for s in sets], np.int64)
+                none = [pa.nulls(n, pa.binary())] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), _long(keys[row : row + n]), _long(a), _long(b), pa.array(sizes), *none], names=names)
+                take = spec.prefix(sizes)
+                for i in np.flatnonzero(sizes).tolist():
+                    name = (int(a[i]), int(b[i]))
+                    if name in seen:
+                        continue
+                    seen.add(name)
+                    cut = int(np.searchsorted(sets[i], spec.offered, side="right"))
+                    further = sets[i][cut : cut + max(0, int(take[i]) - cut)].copy()
+                    held.append(sets[i][:cut].copy())
+                    rest.append(further)
+                    about.append((*name, int(sizes[i]), cut, len(further)))
+                    size += cut + len(further) + 5
+                    if size >= BLOCK:
+                        yield out()
+                        block, seen, held, rest, about, size = block + 1, set(), [], [], [], 0
+        if about:
+            yield out()
+
+    return stored(rows.mapInArrow(tidied(run), NAMED), "sets", partition_by="kind")
+
+
+# -- the exchange: how often is a shingle found?
+
+
+def _slots(hashes: bytes, shift: int) -> np.ndarray:
+    return np.frombuffer(hashes, np.uint64) >> np.uint64(shift)
+
+
+def _first_prefixes(blocks: DataFrame, spec: JoinSpec, clashed: np.ndarray) -> DataFrame:
+    """(key, sid, n): the shingles, of those first in order, that more sets than one may have."""
+    spark = blocks.sparkSession
+    total = blocks.agg(F.sum(F.length("hashes"))).first()[0] or 0
+    shift = max(0, 64 - max(16, int(total // 8).bit_length() + SPARE))
+    limit = (int(spec.offered) >> shift) + 1
+    owners = int(max(partitions(spark), total // 8 // spec.owner_values))
+    starts = [(i * limit) // owners for i in range(owners)]
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = np.array(starts, np.uint64)
         for batch in batches:
-            rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)], axis=1)
-            rows = np.concatenate([tail, rows])
-            if not len(rows):
-                continue
-            fresh = np.ones(len(rows), bool)
-            fresh[: len(tail)] = tail_new
-            same = np.ones(len(rows), bool)
-            same[0] = False
-            same[1:] = (rows[1:, 0] == rows[:-1, 0]) & (rows[1:, 2] == rows[:-1, 2]) & (rows[1:, 1] == rows[:-1, 1])
-            rows, fresh = rows[~same], fresh[~same]
-            m = len(rows)
-            linked = np.flatnonzero(rows[1:, 0] == rows[:-1, 0]) + 1
-            if len(linked):
-                small, big = rows[linked - 1], rows[linked]
-                n1, n2 = small[:, 1] & 0xFFFFFFFF, big[:, 1] & 0xFFFFFFFF
-                fits = 100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)
-                pairs = [p for p in zip(np.minimum(small[fits, 2], big[fits, 2]).tolist(), np.maximum(small[fits, 2], big[fits, 2]).tolist(), strict=True) if p not in told]
-                pairs = list(dict.fromkeys(pairs))
-                if len(told) > 2_000_000:
-                    told.clear()
-                told.update(pairs)
-                if pairs:
-                    x = np.array(pairs, np.int64)
-                    k = len(x)
-                    yield _batch(kind=pa.array(np.zeros(k, np.int32)), key=_long(np.zeros(k)), a=pa.array(x[:, 0]), b=pa.array(x[:, 1]))
-            # members of groups of three: rows with two neighbours of their key on some side
-            eq = rows[1:, 0] == rows[:-1, 0]
-            two = eq[1:] & eq[:-1]
-            many = np.zeros(m, bool)
-            for shift in range(3):
-                many[shift : shift + len(two)] |= two
-            give = np.flatnonzero(many & fresh)
-            if len(give):
-                yield _batch(kind=pa.array(np.ones(len(give), np.int32)), key=pa.array(rows[give, 0]), a=pa.array(rows[give, 2]), b=pa.array(rows[give, 1] & 0xFFFFFFFF))
-            keep = [i for i in range(max(0, m - 2), m) if rows[i, 0] == rows[-1, 0]]
-            tail, tail_new = rows[keep], [bool(fresh[i] and not many[i]) for i in keep]
-
-    return stored(prefixes.repartition("key").sortWithinPartitions("key", "aux", "sid").mapInArrow(tidied(run), "kind int, key long, a long, b long"), "groups", partition_by="kind")
-
-
-# -- verification
-
-
-def verified(pairs: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
-    """The pairs (a, b) of set names whose sets, taken from the texts (sid, body), are similar enough."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "x", "y")):
-            xs = [s for _, sets in all_sets(batch.column("x"), spec.words) for s in sets]
-            ys = [s for _, sets in all_sets(batch.column("y"), spec.words) for s in sets]
-            good = np.zeros(len(xs), bool)
-            for i, (x, y) in enumerate(zip(xs, ys, strict=True)):
-                common = overlap(x, y)
-                good[i] = common > 0 and 100 * common >= spec.percent * (len(x) + len(y) - common)
-            mask = pa.array(good)
-            yield _batch(a=batch.column("a").filter(mask), b=batch.column("b").filter(mask))
-
-    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
-    ends = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    texts = joined(texts, ends, "sid", "left_semi", 16)
-    left, right = texts.withColumnsRenamed({"sid": "a", "body": "x"}), texts.withColumnsRenamed({"sid": "b", "body": "y"})
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return stored(both.mapInArrow(tidied(run), "a long, b long"), "links")
+            for key, hashes in zip(batch.column("key").to_pylist(), batch.column("hashes"), strict=True):
+                mine, times = np.unique(_slots(hashes.as_py(), shift), return_counts=True)
+                cut = np.append(np.searchsorted(mine, start), len(mine))
+                full = np.flatnonzero(np.diff(cut))
+                coded = [golomb_encode(mine[cut[o] : cut[o + 1]], starts[o]) for o in full]
+                counts = [np.minimum(times[cut[o] : cut[o + 1]], 255).astype(np.uint8) for o in full]
+                told = [zlib.compress(c.tobytes(), 1) if c.max() > 1 else b"" for c in counts]
+                yield _batch(owner=pa.array(full, pa.int32()), key=pa.array([key] * len(full), pa.int64()), message=pa.array(coded, pa.binary()), times=pa.array(told, pa.binary()))
+
+    def answer(messages: pa.Table) -> pa.Table:
+        start = starts[messages["owner"][0].as_py()]
+        lists = [golomb_decode(m.as_py(), start) for m in messages["message"].combine_chunks()]
+        times = [np.frombuffer(zlib.decompress(t), np.uint8) if t else np.ones(len(x), np.uint8) for t, x in zip(messages["times"].to_pylist(), lists, strict=True)]
+        _, at = np.unique(np.concatenate(lists), return_inverse=True)
+        counts = np.bincount(at, weights=np.concatenate(times))
+        level = np.floor(np.log2(counts)).astype(np.uint8)[at]
+        ends = np.cumsum([len(x) for x in lists])
+        told = [zlib.compress(x.tobytes(), 1) for x in np.split(level, ends[:-1])]
+        return pa.table({"owner": messages["owner"], "key": messages["key"], "levels": pa.array(told, pa.binary())})
+
+    def receive(block: pa.Table, answers: pa.Table) -> pa.Table:
+        empty = pa.table({c: pa.array([], pa.int64()) for c in ("key", "sid", "n")})
+        if not block.num_rows:
+            return empty
+        raw = block["hashes"][0].as_py()
+        hashes, further = np.frombuffer(raw, np.uint64), np.frombuffer(block["more"][0].as_py(), np.uint64)
+        a, b, sizes, counts, extra = np.frombuffer(block["sets"][0].as_py(), np.uint64).reshape(-1, 5).T
+        told = sorted(zip(answers["owner"].to_pylist(), answers["levels"].to_pylist(), strict=True))  # owners hold ranges in order
+        levels = np.frombuffer(b"".join(zlib.decompress(x) for _, x in told), np.uint8)
+        level = levels[np.unique(_slots(raw, shift), return_inverse=True)[1]] if len(hashes) else levels
+        sid, sizes = settled(a, b, clashed), sizes.astype(np.int64)
+        take, ends, later = spec.prefix(sizes), np.cumsum(counts.astype(np.int64)), np.cumsum(extra.astype(np.int64))
+        alone = np.diff(np.concatenate([[0], np.cumsum(level == 0)])[np.concatenate([[0], ends])])
+        keys, names = [], []
+        for i in np.flatnonzero(alone < take).tolist():
+            lo, hi = ends[i] - int(counts[i]), ends[i]
+            mine = level[lo:hi]
+            order = np.argsort(mine, kind="stable")[: take[i]]
+            shared = hashes[lo:hi][order[mine[order] > 0]]
+            keys += [shared, further[later[i] - int(extra[i]) : later[i]]]
+            names.append(np.full(len(shared) + int(extra[i]), i))
+        if not names:
+            return empty
+        who = np.concatenate(names)
+        return pa.table({"key": _long(np.concatenate(keys)), "sid": _long(sid[who]), "n": _long(sizes[who])})
+
+    messages = blocks.select("key", "hashes").mapInArrow(tidied(send), "owner int, key long, message binary, times binary")
+    answers = messages.groupBy("owner").applyInArrow(answer, "owner int, key long, levels binary")
+    found = blocks.select("key", "sets", "more", "hashes").groupBy("key").cogroup(answers.groupBy("key")).applyInArrow(receive, "key long, sid long, n long")
+    return stored(found, "prefixes")
 
 
 # -- signature trees
@@ -488,37 +486,103 @@ def _tree_pass(units: DataFrame, percent: int) -> DataFrame:
     return stored(ordered.mapInArrow(tidied(run), "a long, b long").distinct(), "more")
 
 
-def _families(units: DataFrame, spec: JoinSpec) -> DataFrame:
-    """The units (unit, side, comp, n, sid), those that share documents as one unit with each document once, if it is within a
-    chunk's bounds; else they stay as they are. Pairs of a unit are in a unit as before, and a family's sets travel once."""
-    heads = units.groupBy("unit").agg(F.min("sid").alias("head"))
-    family = components(units.join(heads, "unit").select(F.col("sid").alias("a"), F.col("head").alias("b")))
-    rows = units.select("sid", "comp", "n").distinct().join(family.select(F.col("node").alias("sid"), F.col("comp").alias("unit")), "sid")
-    rows = stored(rows.select("unit", F.col("sid").alias("side"), "comp", "n", "sid"), "families")
-    bounded = stored(rows.groupBy("unit").agg(F.count("*").alias("c"), F.sum("n").alias("n")).where((F.col("c") <= spec.chunk_rows) & (F.col("n") <= spec.chunk_shingles)).select("unit"), "bounded")
-    large = joined(rows, bounded, "unit", "left_anti", 16).select("sid")
-    return joined(rows, bounded, "unit", "left_semi", 16).unionByName(joined(units, large, "sid", "left_semi", 16))
-
-
 def _tree_links(rest: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
-    """Links between components of the open groups' members (key, comp, n, sid)."""
+    """Links between components of the open families' members (key, comp, n, sid)."""
     cut = chunked(rest, spec)
-    suspects = lambda rows: joined(texts, rows.select("sid").distinct(), "sid", "left_semi", 16)
-    within = cut.select(F.col("chunk").alias("unit"), F.col("sid").alias("side"), "comp", "n", "sid")
-    alive = _open_groups(_bitmap_pass(within.join(_bitmaps(suspects(within), spec), "sid"), spec.percent), "unit", "side")
+    suspects = lambda rows: joined(texts.select("sid", "body"), rows.select("sid").distinct(), "sid", "left_semi", 16)
+    marks = stored(_bitmaps(suspects(cut), spec), "marks")
     chunks = cut.groupBy("key", "chunk").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    large = chunks.groupBy("key").agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("c > 1 and lo <> hi").select("key")
-    parts = stored(chunks.join(large, "key", "left_semi").select("chunk"), "parts")
-    if not parts.isEmpty():  # groups of several chunks
-        rows = stored(joined(cut, parts, "chunk", "left_semi", 16), "large")
-        marks = stored(_bitmaps(suspects(rows), spec), "marks")
-        pairs = chunk_pairs(_root_pass(rows.join(marks, "sid")), spec.percent).withColumn("unit", F.xxhash64("a", "b"))
-        sides = pairs.select("unit", F.col("a").alias("chunk")).unionByName(pairs.select("unit", F.col("b").alias("chunk")))
-        across = rows.join(sides, "chunk").select("unit", F.col("chunk").alias("side"), "comp", "n", "sid")
-        alive = alive.unionByName(_open_groups(_bitmap_pass(across.join(marks, "sid"), spec.percent), "unit", "side"))
-    alive = _families(alive, spec)
-    held = _held_sets(suspects(alive), spec)
-    return _tree_pass(alive.join(held, "sid"), spec.percent)
+    mixed_chunks = chunks.where("lo <> hi").select(F.col("chunk").alias("unit"), "chunk")
+    pairs = chunk_pairs(_root_pass(cut.join(marks, "sid")), spec.percent).withColumn("unit", F.xxhash64("a", "b"))
+    sides = pairs.select("unit", F.col("a").alias("chunk")).unionByName(pairs.select("unit", F.col("b").alias("chunk")))
+    within = cut.join(mixed_chunks, "chunk").select("unit", F.col("sid").alias("side"), "comp", "n", "sid")
+    across = cut.join(sides, "chunk").select("unit", F.col("chunk").alias("side"), "comp", "n", "sid")
+    alive = _bitmap_pass(within.unionByName(across).join(marks, "sid"), spec.percent)
+    return _tree_pass(alive.join(_held_sets(suspects(alive), spec), "sid"), spec.percent)
+
+
+# -- rounds
+
+
+def _texts_of(found: DataFrame, spec: JoinSpec, clashed: np.ndarray) -> DataFrame:
+    """(fam, sid, n, body, order0 and so on: minhashes) of rows whose text has the set of that name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "body", most=SLICE)):
+            sids = batch.column("sid").to_numpy(zero_copy_only=False).view(np.uint64)
+            good, least = np.zeros(len(sids), bool), np.zeros((ORDERS, len(sids)), np.int64)
+            for row, sets in all_sets(batch.column("body"), spec.words):
+                names = settled(*set_names(sets, spec.name_bits), clashed)
+                for i in np.flatnonzero(names == sids[row : row + len(sets)]).tolist():
+                    good[row + i] = len(sets[i]) > 0
+                    for k in range(ORDERS if len(sets[i]) else 0):
+                        least[k, row + i] = int(mixed(sets[i] ^ np.uint64(0x777 + k)).min() >> np.uint64(1))
+            mask = pa.array(good)
+            cols = {c: batch.column(c) for c in ("fam", "sid", "n", "body")} | {f"order{k}": pa.array(x) for k, x in enumerate(least)}
+            yield _batch(**{c: x.filter(mask) for c, x in cols.items()})
+
+    return stored(found.select("fam", "sid", "n", "body").mapInArrow(tidied(run), "fam long, sid long, n long, body string, " + ", ".join(f"order{k} long" for k in range(ORDERS))), "texts")
+
+
+def _round(texts: DataFrame, spec: JoinSpec, order: int) -> DataFrame:
+    """Chunks of families in an order. kind 0: links (a, b) of sets that met in a chunk; kind 1: (a: family, b: chunk)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, fam, sids, sets, size = (TaskContext.get().partitionId() << 32) - 1, None, [], [], 0
+
+        def out() -> pa.RecordBatch:
+            links = [(sids[x], sids[y]) for x, y in links_of(sets, np.arange(len(sets)), spec.percent, np.arange(len(sets)))]
+            rows = np.array([(min(p), max(p)) for p in links] + [(fam, chunk)], np.int64)
+            return _batch(kind=pa.array([0] * len(links) + [1], pa.int32()), a=pa.array(rows[:, 0]), b=pa.array(rows[:, 1]))
+
+        for batch in (part for whole in batches for part in slices(whole, "body", most=SLICE)):
+            families, names = batch.column("fam").to_pylist(), batch.column("sid").to_pylist()
+            for row, made in all_sets(batch.column("body"), spec.words):
+                for i, s in enumerate(made, row):
+                    if sids and families[i] == fam and names[i] == sids[-1]:  # a row that is repeated
+                        continue
+                    if families[i] != fam or len(sids) >= spec.chunk_rows or size + len(s) > spec.chunk_shingles:
+                        if sids:
+                            yield out()
+                        chunk, fam, sids, sets, size = chunk + 1, families[i], [], [], 0
+                    sids.append(names[i])
+                    sets.append(s)
+                    size += len(s)
+        if sids:
+            yield out()
+
+    by = ["fam", f"order{order}", "n", "sid"]
+    ordered = texts.repartitionByRange(*by).sortWithinPartitions(*by).select("fam", "sid", "body")
+    return stored(ordered.mapInArrow(tidied(run), "kind int, a long, b long"), "round", partition_by="kind")
+
+
+def _links(texts: DataFrame, spec: JoinSpec) -> DataFrame:
+    """Links (a, b) that hold together what similar sets of the families hold together."""
+    met = _round(texts, spec, 0)
+    links = met.where("kind = 0").select("a", "b")
+    large = met.where("kind = 1").groupBy("a").agg(F.countDistinct("b").alias("chunks")).where("chunks > 1").select(F.col("a").alias("fam"))
+    large = stored(large, "large")
+    if large.isEmpty():
+        return links
+    members = stored(joined(texts.select("fam", "sid", "n").distinct(), large, "fam", "left_semi", 16), "members")
+
+    def labelled() -> DataFrame:
+        label = components(links).select(F.col("node").alias("sid"), "comp")
+        return stored(members.join(small_side(label, 24), "sid", "left").select(F.col("fam").alias("key"), F.coalesce("comp", "sid").alias("comp"), "n", "sid"), "labelled")
+
+    rows, before = labelled(), None
+    for order in range(1, ORDERS):
+        heads = rows.groupBy("key", "comp").agg(F.min("sid").alias("sid"))
+        open_ = heads.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+        now = open_.agg(F.sum("c")).first()[0] or 0
+        if not now or before and now > 0.7 * before:
+            break
+        chosen = heads.join(open_, "key", "left_semi").select("sid")
+        links = links.unionByName(_round(joined(texts, chosen, "sid", "left_semi", 16), spec, order).where("kind = 0").select("a", "b"))
+        rows, before = labelled(), now
+    several = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    rest = stored(joined(rows, several, "key", "left_semi", 16), "open")
+    return links if rest.isEmpty() else links.unionByName(_tree_links(rest, texts, spec))
 
 
 # -- components
@@ -547,41 +611,29 @@ def components(edges: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, set_name) of each row of docs."""
-    spark = docs.sparkSession
     rows = docs.select(id_key(id_col).alias("key"), text_of(text_col).alias("body"))
     named = _name_pass(rows, spec)
-    often = named.where("kind = 1").groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= spec.hot).orderBy(F.desc("n"), "a").limit(spec.hot_most)
-    counted = often.toArrow()
-    hot = counted["a"].to_numpy().astype(np.int64).view(np.uint64)
-    rank = np.argsort(hot)
-    hot, level = hot[rank], np.log2(counted["n"].to_numpy()[rank] + 1.0).astype(np.int8)
-    sets = named.where("kind = 0").select(F.col("a").alias("key"), F.col("b").alias("sid"), F.col("c").alias("second"), "n")
-    classes = sets.where("n > 0").groupBy("sid").agg(F.min("key").alias("rep"), F.when(F.min("second") == F.max("second"), F.max("n")).otherwise(F.raise_error(F.lit("two sets share a name")).cast("long")).alias("n"))
-    classes = stored(classes, "classes")
-
-    groups = _group_pass(_prefix_pass(rows, spec, hot, level), spec.percent)
-    chain = groups.where("kind = 0").select("a", "b")
-    members = groups.where("kind = 1").select("key", F.col("a").alias("sid"), F.col("b").alias("n"))
-    wanted = chain.select(F.col("a").alias("sid")).unionByName(chain.select(F.col("b").alias("sid"))).unionByName(members.select("sid")).distinct()
-    reps = stored(wanted.join(classes.select("sid", "rep"), "sid"), "suspects")
-    found = joined(rows, reps.select(F.col("rep").alias("key"), "sid"), "key", "inner", 24)
-    texts = stored(_own_text(found, spec), "texts")
-
-    links = verified(chain, texts, spec)
-    first = components(links)
-    labelled = members.join(small_side(first.select(F.col("node").alias("sid"), "comp"), 24), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    labelled = stored(labelled, "members")
-    rest = _open_groups(labelled)
-    more = _tree_links(rest, texts, spec)
+    first = named.where("kind = 0").select("key", F.col("a").alias("sid"), F.col("b").alias("second"), "n")
+    twice = first.where("n > 0").groupBy("sid").agg(F.min("second").alias("x"), F.max("second").alias("y")).where("x <> y").select("sid")
+    # sets that share a 64-bit name: of N sets some N * N / 2^65, none but in the largest tables
+    clashed = np.array([r["sid"] for r in twice.collect()], np.int64).view(np.uint64)
+    sets = _settled_rows(first, clashed) if len(clashed) else first
+    classes = stored(sets.where("n > 0").groupBy("sid").agg(F.min("key").alias("rep"), F.max("n").alias("n")), "classes")
+
+    prefixes = _first_prefixes(named.where("kind = 1"), spec, clashed)
+    heads = prefixes.groupBy("key").agg(F.min("sid").alias("b"), F.max("sid").alias("top")).where("b <> top").select("key", "b")
+    families = components(joined(prefixes.select("key", F.col("sid").alias("a")), heads, "key", "inner", 24).select("a", "b"))
+    reps = stored(families.select(F.col("node").alias("sid"), F.col("comp").alias("fam")).join(classes, "sid").select("sid", "fam", F.col("rep").alias("key"), "n"), "suspects")
+    texts = _texts_of(joined(rows, reps, "key", "inner", 40), spec, clashed)
+    links = _links(texts, spec)
 
     name = classes.select("sid", "rep")
-    edges = links.unionByName(more)
-    edges = edges.join(name.select(F.col("sid").alias("a"), F.col("rep").alias("u")), "a").join(name.select(F.col("sid").alias("b"), F.col("rep").alias("v")), "b").select(F.col("u").alias("a"), F.col("v").alias("b"))
+    edges = links.join(name.select(F.col("sid").alias("a"), F.col("rep").alias("u")), "a").join(name.select(F.col("sid").alias("b"), F.col("rep").alias("v")), "b").select(F.col("u").alias("a"), F.col("v").alias("b"))
     # a doc_id with several texts binds their classes
     binds = sets.where("n > 0").groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("key")
     tied = sets.where("n > 0").join(binds, "key", "left_semi").join(name, "sid").select(F.col("key").alias("a"), F.col("rep").alias("b")).where("a <> b")
     labels = stored(components(edges.unionByName(tied)), "components")
-    out = sets.join(classes.select("sid", "rep"), "sid", "left").join(labels.select(F.col("node").alias("rep"), "comp"), "rep", "left")
+    out = sets.join(name, "sid", "left").join(labels.select(F.col("node").alias("rep"), "comp"), "rep", "left")
     if not binds.isEmpty():  # then also by the id itself
         out = out.join(labels.select(F.col("node").alias("key"), F.col("comp").alias("own")), "key", "left").withColumn("comp", F.least(F.coalesce("comp", "own"), F.coalesce("own", "comp")))
     label = F.coalesce("comp", "rep", "key")
@@ -589,33 +641,13 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", t
     return out.select(real(F.col("key")).alias("doc_id"), F.col("n").alias("n_shingles"), real(label).alias("component_id"), F.col("sid").alias("set_name"))
 
 
-def _own_text(found: DataFrame, spec: JoinSpec) -> DataFrame:
-    """(sid, body) once for each sid: a row whose text has the set of that name."""
-
+def _settled_rows(sets: DataFrame, clashed: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sids = batch.column("sid").to_numpy(zero_copy_only=False).view(np.uint64)
-            good = np.zeros(len(sids), bool)
-            for row, sets in all_sets(batch.column("body"), spec.words):
-                names, _ = set_names(sets)
-                good[row : row + len(sets)] = names == sids[row : row + len(sets)]
-            mask = pa.array(good)
-            yield _batch(sid=batch.column("sid").filter(mask), body=batch.column("body").filter(mask))
-
-    return found.select("sid", "body").mapInArrow(tidied(run), "sid long, body string")
-
-
-def _open_groups(members: DataFrame, key: str = "key", *sides: str) -> DataFrame:
-    """Members of groups of several components; of groups of the same members (and sides), one."""
-
-    def name(seed: int) -> Column:
-        return F.bit_xor(F.xxhash64("sid", *sides, F.lit(seed)))
+            a, b = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("sid", "second"))
+            yield _batch(key=batch.column("key"), sid=_long(settled(a, b, clashed)), second=batch.column("second"), n=batch.column("n"))
 
-    chosen = (
-        members.groupBy(key).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), name(0).alias("x"), name(1).alias("y"), F.count("*").alias("c"))
-        .where("lo <> hi").groupBy("x", "y", "c").agg(F.min(key).alias(key)).select(key)
-    )
-    return stored(joined(members, chosen, key, "left_semi", 16), "open")
+    return sets.mapInArrow(run, sets.schema)
 
 
 def _bitmaps(texts: DataFrame, spec: JoinSpec) -> DataFrame:
@@ -640,7 +672,7 @@ def _held_sets(texts: DataFrame, spec: JoinSpec) -> DataFrame:
 
 def keep_one(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each group of links: the one of smallest doc_id. Documents without words all stay."""
-    names = docs.columns
+    key = fresh(docs, "key")
     marks = join(docs, spec, id_col, text_col)
-    gone = stored(marks.where(F.col("n_shingles") > 0).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_key().alias("_key")).distinct(), "gone")
-    return joined(docs.withColumn("_key", id_key(id_col)), gone, "_key", "left_anti", 16).select(*names)
+    gone = stored(marks.where(F.col("n_shingles") > 0).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_key().alias(key)).distinct(), "gone")
+    return joined(docs.withColumn(key, id_key(id_col)), gone, key, "left_anti", 16).drop(key)

@@ -16,7 +16,7 @@ _VALUE = _BYTE[_LOWER]
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 #: Bytes of text that are worked on at once (a longer text is worked on alone).
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -208,12 +208,47 @@ def test_op5_brute_force(spark, n, percent):
     rng.shuffle(rows)
     rows = list(enumerate(rows))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(df, jaccard.JoinSpec(words=n, percent=percent, hot=3)).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(df, jaccard.JoinSpec(words=n, percent=percent)).collect()}
     assert got == brute_components(rows, n, percent)
-    cut = jaccard.join(df, jaccard.JoinSpec(words=n, percent=percent, hot=3, chunk_rows=3, chunk_shingles=150))
+    cut = jaccard.join(df, jaccard.JoinSpec(words=n, percent=percent, chunk_rows=3, chunk_shingles=150, owner_values=100))
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in cut.collect()} == got
 
 
+def test_op5_sets_that_share_a_name(spark):
+    """With names of three bits most sets share one; the result is the same."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9)))) for i in range(60)]
+    rows += [(100 + i, t) for i, (_, t) in enumerate(rows[:20])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(df, jaccard.JoinSpec(words=2, percent=70, name_bits=3)).collect()}
+    assert got == brute_components(rows, 2, 70)
+
+
+def test_first_shingles_keep_every_link(spark):
+    """Linked sets share a row of _first_prefixes, whatever blocks and owners they are dealt to."""
+    rng = random.Random(5)
+    words, rows = [f"w{i}" for i in range(60)], []
+    for _ in range(12):
+        text = [rng.choice(words) for _ in range(rng.randint(3, 90))]
+        for _ in range(5):
+            rows.append(" ".join(text))
+            text[rng.randrange(len(text))] = rng.choice(words)
+    spec = jaccard.JoinSpec(words=2, percent=80, owner_values=64)
+    df = spark.createDataFrame(list(enumerate(rows)), "key long, body string").repartition(3)
+    named = jaccard._name_pass(df, spec)
+    held = collections.defaultdict(set)
+    for r in jaccard._first_prefixes(named.where("kind = 1"), spec, np.zeros(0, np.uint64)).collect():
+        held[r["sid"]].add(r["key"])
+    name = {r["key"]: r["a"] for r in named.where("kind = 0").collect()}
+    labels = brute_components(list(enumerate(rows)), 2, 80)
+    sets = [set(zip(r.split(), r.split()[1:])) for r in rows]
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common) and name[i] != name[j]:
+                assert labels[i][1] == labels[j][1] and held[name[i]] & held[name[j]]
+
+
 @pytest.mark.parametrize("chunk_shingles", [90, 1 << 21])
 def test_chunks_of_one_group(spark, chunk_shingles):
     """Documents of one group whose neighbours were not linked: the links are found within chunks and across them."""
@@ -263,17 +298,6 @@ def test_signature_tree_keeps_every_link():
     assert len({len(jaccard.bitmap(s)) for s in sets}) > 1
 
 
-def test_families_hold_every_pair(spark):
-    """Units that share documents become one where it is small enough; each pair of a unit stays in some unit."""
-    units = {1: (0, 1), 2: (1, 2), 3: (5, 6), 4: (6, 7), 5: (7, 8), 6: (8, 9)}
-    rows = [(unit, sid, sid, 10, sid) for unit, sids in units.items() for sid in sids]
-    got = jaccard._families(spark.createDataFrame(rows, "unit long, side long, comp long, n long, sid long"), jaccard.JoinSpec(chunk_rows=4)).collect()
-    held = collections.defaultdict(list)
-    for r in got:
-        held[r["unit"]].append(r["sid"])
-    assert sorted(map(sorted, held.values())) == [[0, 1, 2], [5, 6], [6, 7], [7, 8], [8, 9]]
-
-
 @given(st.lists(st.tuples(st.integers(0, 19), st.integers(0, 19)), max_size=30), st.integers(1, 4))
 @settings(deadline=None)
 def test_merged_parts_are_components(pairs, calls):
@@ -296,7 +320,7 @@ def test_bitmap_pass_names_parts(spark):
     got = jaccard._bitmap_pass(spark.createDataFrame(units, "unit long, side long, comp long, n long, sid long, bits binary"), 80)
     rows = got.collect()
     assert sorted((r["side"], r["sid"]) for r in rows) == [(0, 0), (0, 0), (1, 1), (1, 1)]
-    assert len({r["unit"] for r in rows}) == 2 and jaccard._open_groups(got, "unit", "side").count() == 2
+    assert len({r["unit"] for r in rows}) == 2
 
 
 def test_components_of_a_path(spark):
