@@ -5,15 +5,16 @@ compared with its source. A turn that does not come back identical (it holds con
 like an escaped one) is rendered again with those strings escaped, until it does.
 
     turn   := open " " text " " close "\\n"
-    open   := "[SYS]" | "[INST]" | "<s>" | "[ROLE " JSON string or null "]"
+    open   := "[SYS]" | "[INST]" | "<s>" | "[ROLE=" JSON string or null "]"
     close  := "[/SYS]" | "[/INST]" | "</s>" | "[/ROLE]"
 
 A control string in a text is escaped by one more backslash before it and read by taking one away; a control
-string without a backslash is structure, and is an error inside a text.
+string without a backslash is structure, and is an error inside a text. A text stands between spaces and no control
+string begins with, ends in or holds a space, so none is made at a text's edges.
 
 Turns go in order of turn, role, text (nulls first) within a conversation; repeated rows are repeated turns.
 A null text is the empty text; a null conv_id is a conversation of its own; a null role is a role. An empty
-table gives no rows; other columns are dropped. Rows stream: a conversation of any length is held one turn
+table gives no rows; other columns are dropped, whatever their names; a long text is held once. Rows stream: a conversation of any length is held one turn
 at a time, and only whole-conversation digests see it all.
 """
 
@@ -30,9 +31,9 @@ from pyspark.sql import functions as F
 
 #: role -> (open, close)
 MARKS = {"system": ("[SYS]", "[/SYS]"), "user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>")}
-OTHER = ("[ROLE ", "[/ROLE]")
+OTHER = ("[ROLE=", "[/ROLE]")
 LEARNED = "assistant"
-CONTROL = re.compile(r"(\\*)(\[/?SYS\]|\[/?INST\]|</?s>|\[ROLE |\[/ROLE\])")
+CONTROL = re.compile(r"(\\*)(\[/?SYS\]|\[/?INST\]|</?s>|\[ROLE=|\[/ROLE\])")
 ROLE_OF = {mark: role for role, (mark, _) in MARKS.items()}
 SEGMENTS = "conv_id long, position long, segment string, loss_start int, loss_end int"
 

@@ -128,7 +128,7 @@ def test_op3(spark):
     names = sorted(total)
     want = mixing.targets([total[n] for n in names], [(5, 2, 1)[i % 3] for i in range(len(names))], 1.5 * sum(total.values()), 2)
     for n, t in zip(names, want, strict=True):
-        assert target[n] == pytest.approx(t) and abs(taken[n] - t) <= max(0.05 * t, 60)
+        assert target[n] == pytest.approx(t) and abs(taken[n] - t) <= max(0.01 * t, 20)
     again = {r["doc_id"]: r["taken"] for r in queries.op3_source_mix(spark, SF).collect()}
     assert again == {r["doc_id"]: r["taken"] for r in got}
 
@@ -136,11 +136,45 @@ def test_op3(spark):
 def test_op3_mix_and_odd(odd, empty):
     plan = mixing.quotas(odd).collect()
     assert len(plan) == odd.count() and all(r["taken"] <= 2 * r["size"] for r in plan)
-    mixed = mixing.mix(odd.drop("shard"))
-    assert mixed.columns == [*odd.drop("shard").columns, "shard"] and mixed.count() == sum(len(r["draws"]) for r in plan)
+    clash = odd.drop("shard").withColumns({"size": F.lit(-5), "src": F.lit("s"), "place": F.lit("p"), "draws": F.lit(1)})
+    mixed = mixing.mix(clash)
+    assert mixed.columns == [*clash.columns, "shard"] and mixed.count() == sum(len(r["shards"]) for r in plan)
+    assert {(r["size"], r["src"], r["place"], r["draws"]) for r in mixed.collect()} == {(-5, "s", "p", 1)}
     assert mixing.quotas(empty).count() == 0 and mixing.mix(empty.drop("shard")).count() == 0
 
 
+def test_op3_is_what_the_leaves_hold(spark, monkeypatch):
+    """Shards are of equal quota to within a block; another tree gives another mix of the same sizes."""
+    rows = [(i, " ".join(["w"] * (1 + i * 7 % 11)), f"s{i * i % 7}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spec = mixing.MixSpec(shards=8, blocks_a_shard=20)
+    shards = {r["doc_id"]: sorted(r["shards"]) for r in mixing.quotas(df, spec).collect()}
+    mixed = collections.Counter((r["doc_id"], r["shard"]) for r in mixing.mix(df, spec).collect())
+    assert mixed == collections.Counter((d, s) for d, held in shards.items() for s in held)
+    size = {i: len(t.split()) for i, t, _ in rows}
+    words = collections.Counter()
+    for (d, s), n in mixed.items():
+        words[s] += n * size[d]
+    assert len(words) == 8 and max(words.values()) < 1.5 * min(words.values())
+    seen = []
+    real = mixing.split_tree
+    monkeypatch.setattr(mixing, "split_tree", lambda counts, n, seed: seen.append(real(counts, n, seed)) or np.concatenate([counts[None], np.zeros((n - 1, len(counts)), np.int64)]))
+    other = {r["doc_id"]: list(r["shards"]) for r in mixing.quotas(df, spec).collect()}
+    assert {s for held in other.values() for s in held} == {0} and sum(map(len, other.values())) == sum(map(len, shards.values()))
+    per_shard = seen[0].sum(axis=1)
+    assert per_shard.max() - per_shard.min() <= 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 500), max_size=12), st.integers(1, 2500))
+def test_nearest_sum(sizes, want):
+    got = mixing.nearest(list(enumerate(sizes)), want)
+    sums = {0}
+    for x in (x for x in sizes if x < 2 * want):
+        sums |= {x + y for y in sums}
+    assert len(got) == len(set(got)) and abs(sum(sizes[i] for i in got) - want) == min(abs(x - want) for x in sums)
+
+
 # -- 4
 
 
@@ -457,7 +491,7 @@ def test_boosting_learns():
 
 # -- 9
 
-PIECES = ["</s>", "<s>", "[INST]", "[/INST]", "\\", "\\\\", " ", "\n", "[SYS]", "[ROLE ", "[/ROLE]", '"', "x", "é", "</", "s>", "[INST", "]"]
+PIECES = ["</s>", "<s>", "[INST]", "[/INST]", "\\", "\\\\", " ", "\n", "[SYS]", "[ROLE=", "[ROLE", "[ROLE ", "[/ROLE]", '"', "x", "é", "</", "s>", "[INST", "]"]
 
 
 @settings(max_examples=500, deadline=None)
@@ -469,6 +503,20 @@ def test_turn_round_trip(role, text):
         assert [m[2] for m in chat.CONTROL.finditer(segment) if not m[1]] == list(chat.MARKS[role])
 
 
+CONTROLS = ["[SYS]", "[/SYS]", "[INST]", "[/INST]", "<s>", "</s>", "[ROLE=", "[/ROLE]"]
+
+
+def test_texts_at_the_edge_of_a_mark():
+    """Texts that begin and end in every part of every control string, escaped or not."""
+    edges = sorted({slash + c[i:j] for c in CONTROLS for i in range(len(c)) for j in range(i + 1, len(c) + 1) for slash in ("", "\\")}) + ["[ROLE ", "[ROLE=null]"]
+    for role in ("user", "assistant", "tool", None):
+        for edge in edges:
+            for text in (edge, edge + "x", "x" + edge, edge + " x " + edge, " " + edge + " "):
+                segment, a, b = chat.render_turn(role, text)
+                got = chat.read(segment)
+                assert got[:2] == (role, text) and got[4] == len(segment) and chat.unescape(segment[a:b]) == text
+
+
 def test_op9(spark):
     got = {r["conv_id"]: r for r in queries.op9_chat_format(spark, SF).collect()}
     turns = collections.defaultdict(list)
@@ -478,6 +526,7 @@ def test_op9(spark):
     assert set(got) == set(turns)
     for key, said in turns.items():
         loss = "".join(t for r, t in said if r == "assistant")
+        assert got[key]["formatted_chars"] == sum(len(chat.render_turn(r, t)[0]) for r, t in said)
         assert (got[key]["n_turns"], got[key]["turns_sha256"], got[key]["loss_chars"], got[key]["loss_sha256"]) == (len(said), sha("".join(f"{r}\n{t}\n" for r, t in said)), len(loss), sha(loss))
 
 
