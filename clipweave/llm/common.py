@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipweave.storage import drop, extended, new_path, shared_dir, stored, written  # noqa: F401
+from clipweave.storage import drop, drop_stored, extended, new_path, shared_dir, stored, written  # noqa: F401
 
 #: Largest table, in estimated bytes, that a helper here sends to every executor.
 BROADCAST_LIMIT = 32 << 20
@@ -47,6 +47,12 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def without(df: DataFrame, *names: str | None) -> DataFrame:
+    """df without the columns of these names, letter case aside, which are to be added."""
+    gone = {n.lower() for n in names if n}
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in gone))
+
+
 def id_key(column: str = "doc_id") -> Column:
     """The id as a join key that is never null."""
     return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
@@ -57,8 +63,9 @@ def text_of(column: str = "text") -> Column:
 
 
 def small_side(df: DataFrame, row_bytes: int, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """df with a broadcast hint if its counted rows stay under the limit; else df, for a shuffled join."""
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+    """df with a broadcast hint if its counted rows, with what a hashed row takes besides, stay under the limit; else df, for a
+    shuffled join."""
+    return F.broadcast(df) if df.count() * (row_bytes + 48) <= limit else df
 
 
 def joined(left: DataFrame, right: DataFrame, on, how: str, row_bytes: int) -> DataFrame:

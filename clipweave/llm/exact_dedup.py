@@ -10,7 +10,8 @@
    combination, so a huge group of copies costs one row per task), which verifies the groups.
 
 Nulls: a null text is the empty text; a null doc_id is smaller than every other. Of rows that share both
-doc_id and text just one is kept. An empty table gives an empty result. Other columns are not looked at.
+doc_id and text just one is kept. A long text is hashed like any other and moves only if it is a suspect. An empty
+table gives an empty result. Other columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipweave.llm.common import id_key, joined, partitions, stored, text_of, tidied
+from clipweave.llm.common import fresh, id_key, joined, partitions, stored, text_of, tidied
 
 #: Documents of one sender at most.
 BLOCK_ROWS = 1 << 16
@@ -164,16 +165,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that dedup() drops, columns as they were."""
-    names = docs.columns
-    marks = stored(dedup(docs, id_col, text_col), "marks")
-    key, sha = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), F.sha2(text_of(text_col), 256)
-    gone = marks.where(~F.col("kept")).select(id_key().alias("_key"), F.col("text_sha256").alias("_sha"))
-    stay = marks.where("kept").select(id_key().alias("_key"), F.col("text_sha256").alias("_sha"))
-    repeated = gone.join(stay, ["_key", "_sha"], "left_semi").distinct()
-    tagged = docs.withColumn("_key", key).withColumn("_sha", sha)
-    once = joined(tagged, gone.distinct(), ["_key", "_sha"], "left_anti", 120)
-    if not repeated.isEmpty():
-        again = joined(tagged, repeated, ["_key", "_sha"], "left_semi", 120)
-        once = once.unionByName(again.dropDuplicates(["_key", "_sha"]))
-    return once.select(*names)
+    """docs without the rows that dedup() drops, columns as they were. Of rows that share id and text but differ in other columns,
+    the one that comes first as JSON stays."""
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    key, sha = fresh(docs, "key"), fresh(docs, "sha")
+    marks = stored(dedup(docs, id_col, text_col), "marks").select("kept", id_key().alias(key), F.col("text_sha256").alias(sha))
+    gone, stay = marks.where(~F.col("kept")).select(key, sha), marks.where("kept").select(key, sha)
+    repeated = stored(gone.join(stay, [key, sha], "left_semi").distinct(), "repeated")
+    tagged = docs.withColumns({key: id_key(id_col), sha: F.sha2(text_of(text_col), 256)})
+    once = joined(tagged, gone.distinct(), [key, sha], "left_anti", 120).select(*names)
+    if repeated.isEmpty():
+        return once
+    again = joined(tagged, repeated, [key, sha], "left_semi", 120)
+    first = again.groupBy(key, sha).agg(F.min_by(F.struct(*names), F.to_json(F.struct(*names))).alias("row"))
+    return once.unionByName(first.select("row.*"))

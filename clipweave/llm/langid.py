@@ -6,7 +6,9 @@ bytes; every byte of the text is in a window. At prediction, the filters of two
 table lookup, and windows run in batches.
 
 Nulls: a text that is null or has no letter is `und` with score 0, and so is every text if nothing could be
-learned (no labelled rows). Rows of null text or language are not learned from. Other columns are ignored.
+learned (no labelled rows). Rows of null text or language are not learned from. A long text is cut into windows like
+any other, one text at a time. Repeated rows get equal results, and of languages of equal probability the first by name
+wins. An empty table gives an empty result. Other columns are ignored, and pass through predict().
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipweave.llm.common import extended, tidied
+from clipweave.llm.common import extended, fresh, tidied, without
 
 UNKNOWN = "und"
 WINDOW = 256
@@ -172,10 +174,10 @@ def fit(docs: DataFrame, spec: TrainSpec = TrainSpec(), id_col: str = "doc_id",
 
 
 def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
-    """docs plus the language and its score, under names that docs has no columns of. The network sees nothing but the text."""
+    """docs plus the language and its score, in place of columns of these names. The network sees nothing but the text."""
+    docs = without(docs, lang_out, score_out)
     names = docs.columns
-    cols = [F.col(f"`{n}`") for n in names]
-    tagged = docs.select(*cols, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
+    tagged = docs.withColumn(fresh(docs, "letter"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
     schema = extended(docs.schema, **{lang_out: "string", score_out: "double"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,17 +1,19 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
-Sizes are words. A source's documents are hashed into blocks, in an order that is a random permutation of
-its documents. Its target is met by whole passes over all blocks and one partial pass: the blocks below a
-cut, plus chosen ones of the next few hundred documents (for a small source, of all). The blocks to draw, counted by source, are the root of
-a binary tree over output shards: each node deals its block counts to its two children with a multivariate
-hypergeometric draw of the left child's exact size. A leaf so holds its shard's exact quota of each source,
-and takes its next blocks in the source's permuted order, which makes the draws disjoint. Rows are ordered
-by a hash inside their shard.
-
-All draws come from seeds and hashes: reruns agree. Nulls: a null text has no words, the null source is a
-source of its own that comes last, a null doc_id hashes as a value of its own. Rows that repeat id and text
-are drawn together. Documents without words are never drawn. Sources are a driver-sized table (the targets
-are settled there); documents, blocks and draws never are. Other columns pass through mix().
+Sizes are words. A source's documents stand in an order that is a random permutation of them, and are cut into blocks
+of about as many words in every source. A source's target is met by whole passes over its blocks and one partial pass:
+the blocks below a cut, which is searched by sums of ever smaller ranges, and one last block, made of the documents
+between, and of chosen ones that end nearest to the target. The blocks to draw, counted by source, are the root of a
+binary tree over output shards: each node deals its counts to its two children with a multivariate hypergeometric draw
+of the left child's exact size. A leaf so holds its shard's exact quota of each source, and takes its next blocks in
+the source's permuted order, which makes the draws disjoint; what is taken of a document is counted from the leaves.
+Rows are ordered by a hash inside their shard.
+
+All draws come from seeds and hashes: reruns agree. Nulls: a null text has no words, the null source is a source of its
+own that comes last, a null doc_id hashes as a value of its own. Rows that repeat id and text are drawn together, ties
+of the order with them. Documents without words are never drawn, long texts whole, like others. An empty table gives an
+empty mix. Sources and blocks (their number is bounded) are driver-sized tables; documents never are. Other columns
+pass through mix(), whatever their names.
 """
 
 from __future__ import annotations
@@ -19,25 +21,31 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipweave.llm.common import small_side, stored, text_of
+from clipweave.llm.common import fresh, partitions, small_side, stored, text_of, without
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Hash bits that name a block in the first and in the second look at a source.
-BITS = 10
-LEVEL2 = 12
-#: Documents among which the partial pass ends: at least so many, if there are; and the most for an exact subset.
-ENDING, FEW = 512, 64
+#: Bits of a document's place in its source; bits by which a step of the search narrows a range.
+PLACE, STEP = 62, 6
+#: Most places of the range that the search ends in; documents of each size class beyond it that may be chosen besides.
+ENDING, SPARE = 64, 4
+#: Steps in which sums are told apart when the last documents are chosen.
+GRAIN = 1 << 16
 
 
 @dataclass(frozen=True)
 class MixSpec:
+    """shards: of the output; unless given, one for shard_words of the mix, 16 at least and 1024 at most. blocks_a_shard: how many
+    blocks a shard is dealt, about."""
+
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     share: float = 1.5
     most: float = 2.0
-    shards: int = 16
+    shards: int | None = None
+    shard_words: int = 1 << 24
+    blocks_a_shard: int = 64
     seed: int = 20240607
 
 
@@ -81,160 +89,169 @@ def split_tree(counts: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def measured(docs: DataFrame, spec: MixSpec, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """docs plus _size, _src (a non-null name of the source) and _hash (its place in the source's order, over 0)."""
+def measured(docs: DataFrame, spec: MixSpec, id_col: str, text_col: str, source_col: str) -> tuple[Column, Column, Column]:
+    """Of a document: its size, a name of its source that is never null, and its place in the source's order."""
     text = text_of(text_col)
     src = F.when(F.col(source_col).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col(source_col).cast("string")))
-    place = F.xxhash64(F.lit(spec.seed), F.coalesce(F.col(id_col).cast("string"), F.lit("-")), text).bitwiseAND(F.lit((1 << 62) - 1))
-    return docs.withColumn("_size", n_words(text)).withColumn("_src", src).withColumn("_hash", place)
-
-
-def _block(bits: int) -> Column:
-    return F.shiftright("_hash", 62 - bits)
-
-
-def _cut(sums: list[tuple[int, int]], want: float) -> tuple[int, float]:
-    """The block at which the running sum passes want, and what is still wanted before it."""
-    for block, size in sums:
-        if size >= want:
-            return block, want
-        want -= size
-    return (sums[-1][0] if sums else 0), want
-
-
-def _choose(units: list[tuple[int, int]], want: float) -> list[int]:
-    """Places of units whose sizes sum close to want. Of few units the best subset; of more, in order, those that fit, then
-    the one that ends nearest."""
-    if len(units) <= FEW:
-        return _best_subset(units, want)
-    chosen, left = [], want
-    for place, size in units:
-        if size <= left:
-            chosen.append(place)
-            left -= size
-    held = set(chosen)
-    rest = [(abs(left - size), place) for place, size in units if place not in held]
-    if rest and min(rest)[0] < left:
-        chosen.append(min(rest)[1])
-    return chosen
-
-
-def _best_subset(units: list[tuple[int, int]], want: float) -> list[int]:
-    """Subset sums as bits of whole numbers, one for each prefix of the units."""
-    sums = [1]
-    for _, size in units:
-        sums.append(sums[-1] | sums[-1] << size)
-    whole = int(want)
-    below = (sums[-1] & ((1 << (whole + 1)) - 1)).bit_length() - 1
-    above = sums[-1] >> (whole + 1)
-    up = whole + 1 + (above & -above).bit_length() - 1 if above else None
-    total = below if up is None or want - below <= up - want else up
+    place = F.xxhash64(F.lit(spec.seed), F.coalesce(F.col(id_col).cast("string"), F.lit("-")), text).bitwiseAND(F.lit((1 << PLACE) - 1))
+    return n_words(text), src, place
+
+
+def block_of(place, blocks):
+    """Which of a source's blocks a place is in; for numbers and columns."""
+    if isinstance(place, Column):
+        return F.shiftright(F.shiftright(place, PLACE // 2) * blocks, PLACE // 2)
+    return ((place >> PLACE // 2) * blocks) >> PLACE // 2
+
+
+def nearest(units: list[tuple[int, int]], want: float) -> list[int]:
+    """Places of units whose sizes sum as close to want as steps of want / GRAIN tell; sums are bits of one whole number a unit."""
+    step = max(1.0, want / GRAIN)
+    fit = [(place, round(size / step)) for place, size in units if 0 < size < 2 * want]
+    top, sums = int(2 * want / step) + 1, [1]
+    for _, size in fit:
+        sums.append((sums[-1] | sums[-1] << size) & ((1 << (top + 1)) - 1))
+    goal = round(want / step)
+    below = (sums[-1] & ((1 << (goal + 1)) - 1)).bit_length() - 1
+    above = sums[-1] >> (goal + 1)
+    total = below
+    if above and (up := goal + (above & -above).bit_length()) - goal < goal - below:
+        total = up
     chosen = []
-    for i in range(len(units) - 1, -1, -1):
+    for i in range(len(fit) - 1, -1, -1):
         if not sums[i] >> total & 1:
-            chosen.append(units[i][0])
-            total -= units[i][1]
+            chosen.append(fit[i][0])
+            total -= fit[i][1]
     return chosen[::-1]
 
 
-def plan(slim: DataFrame, spec: MixSpec) -> tuple[DataFrame, DataFrame]:
-    """From (_src, _size, _hash) rows: (sources: _src, source_size, target, passes, cut, chosen), (draws: _src, _block, draws)."""
+def _searched(slim: DataFrame, want: dict[str, float], counts: dict[str, int]) -> tuple[dict[str, tuple[int, int]], dict[str, float]]:
+    """For each source the range of places [low, high) in which the running sum passes what is wanted, of ENDING places at most,
+    and what is still wanted before it."""
+    spark, bits = slim.sparkSession, PLACE
+    ranges = {n: (0, 1 << PLACE) for n in want}
+    left, open_ = dict(want), [n for n in want if counts[n] > ENDING and want[n] > 0]
+    while open_ and bits > 0:
+        step = min(STEP, bits)
+        bits -= step
+        lows = spark.createDataFrame([(n, ranges[n][0], ranges[n][1]) for n in open_], "src string, low long, high long")
+        inside = slim.join(small_side(lows, 48), "src").where("place >= low and place < high")
+        parts: dict[str, list] = {n: [] for n in open_}
+        for r in inside.groupBy("src", F.shiftright(F.col("place") - F.col("low"), bits).alias("part")).agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect():
+            parts[r["src"]].append((r["part"], r["size"], r["n"]))
+        still = []
+        for n in open_:
+            low, high = ranges[n]
+            for part, size, rows in sorted(parts[n]):
+                ranges[n] = (low + (part << bits), low + ((part + 1) << bits))
+                if size >= left[n]:
+                    if rows > ENDING:
+                        still.append(n)
+                    break
+                left[n] -= size
+            else:  # by rounding, all of the range is wanted
+                ranges[n] = (high, high)
+        open_ = still
+    return ranges, left
+
+
+@dataclass
+class Plan:
+    """sources: (src, source_size, target, blocks, cut, low, chosen, last: shard of the last block); draws: (src, block, draws)."""
+
+    sources: DataFrame
+    draws: DataFrame
+    shards: int
+
+
+def plan(slim: DataFrame, spec: MixSpec) -> Plan:
+    """From (src, size, place) rows."""
     spark = slim.sparkSession
-    rows = slim.groupBy("_src").agg(F.sum("_size").alias("size")).collect()
-    named = sorted(((r["_src"][0] == "-", r["_src"], r["size"]) for r in rows))
-    names, sizes = [n for _, n, _ in named], [int(s) for *_, s in named]
+    rows = slim.groupBy("src").agg(F.sum("size").alias("size"), F.count_if(F.col("size") > 0).alias("n")).collect()
+    named = sorted((r["src"][0] == "-", r["src"], r["size"], r["n"]) for r in rows)
+    names, sizes, counts = [x[1] for x in named], [int(x[2]) for x in named], {x[1]: x[3] for x in named}
     weights = [spec.weights[i % len(spec.weights)] for i in range(len(names))]
-    goal = targets(sizes, weights, spec.share * sum(sizes), spec.most)
+    total = spec.share * sum(sizes)
+    goal = targets(sizes, weights, total, spec.most)
     passes = [int(t // s) if s else 0 for t, s in zip(goal, sizes, strict=True)]
-    want = [t - p * s for t, p, s in zip(goal, passes, sizes, strict=True)]
-    index = {n: i for i, n in enumerate(names)}
-
-    first: dict[str, list] = {n: [] for n in names}
-    rows_in: dict[str, list] = {n: [] for n in names}
-    for r in slim.where("_size > 0").groupBy("_src", _block(BITS).alias("b")).agg(F.sum("_size").alias("size"), F.count("*").alias("n")).collect():
-        first[r["_src"]].append((r["b"], r["size"]))
-        rows_in[r["_src"]].append((r["b"], r["n"]))
-    few = {n: sum(c for _, c in rows_in[n]) <= 8 * ENDING for n in names}  # then all its documents are there to choose from
-    cut1 = {n: (0, want[index[n]]) if few[n] else _cut(sorted(first[n]), want[index[n]]) for n in names}
-    last = {n: (1 << BITS) - 1 if few[n] else _reach(sorted(rows_in[n]), cut1[n][0]) for n in names}
-    near = spark.createDataFrame([(n, cut1[n][0], last[n]) for n in names], "_src string, _from long, _to long")
-    inside = slim.where("_size > 0").join(F.broadcast(near), "_src").where(_block(BITS).between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
-    second: dict[str, list] = {n: [] for n in names}
-    for r in inside.groupBy("_src", _block(BITS + LEVEL2).alias("b")).agg(F.sum("_size").alias("size")).collect():
-        second[r["_src"]].append((r["b"], r["size"]))
-    # few documents: the whole block is the place to choose in; many: one of its parts
-    counts = {r["_src"]: r["n"] for r in inside.groupBy("_src").agg(F.countDistinct("_hash").alias("n")).collect()}
-    cut2 = {n: _cut(sorted(second[n]), cut1[n][1]) if counts.get(n, 0) > 8 * ENDING else None for n in names}
-    low = {n: cut2[n][0] << (62 - BITS - LEVEL2) if cut2[n] else cut1[n][0] << (62 - BITS) for n in names}
-    high = {n: low[n] + (1 << (62 - BITS - LEVEL2)) if cut2[n] else (last[n] + 1) << (62 - BITS) for n in names}
-    ranges = spark.createDataFrame([(n, low[n], high[n]) for n in names], "_src string, _low long, _high long")
-    inside = inside.join(F.broadcast(ranges), "_src").where("_hash >= _low and _hash < _high")
+    want = {n: t - p * s for n, t, p, s in zip(names, goal, passes, sizes, strict=True)}
+    shards = spec.shards or int(min(1024, max(16, total // spec.shard_words)))
+    words = max(1.0, total / (shards * spec.blocks_a_shard))
+    blocks = [max(1, round(s / words)) for s in sizes]
+
+    some = slim.where("size > 0")
+    ranges, left = _searched(some, want, counts)
+    bounds = spark.createDataFrame([(n, *ranges[n], b) for n, b in zip(names, blocks, strict=True)], "src string, low long, high long, blocks long")
+    placed = some.join(small_side(bounds, 64), "src")
+    beyond = Window.partitionBy("src", "class").orderBy("place")
+    further = placed.where("place >= high").withColumn("class", F.floor(F.log2("size"))).withColumn("i", F.row_number().over(beyond)).where(F.col("i") <= SPARE)
+    ending = stored(placed.where("place >= low and place < high").select("src", "place").unionByName(further.select("src", "place")).distinct(), "ending")
     units: dict[str, list] = {n: [] for n in names}
-    for r in inside.groupBy("_src", "_hash").agg(F.sum("_size").alias("size")).collect():
-        units[r["_src"]].append((r["_hash"], r["size"]))
-    chosen = {n: _choose(sorted(units[n]), (cut2[n] or cut1[n])[1]) for n in names}
-    sources = spark.createDataFrame(
-        [(n, sizes[i], float(goal[i]), passes[i], low[n], chosen[n]) for i, n in enumerate(names)],
-        "_src string, source_size long, target double, passes int, cut long, chosen array<long>",
-    )
-
-    draws = []
+    for r in some.join(small_side(ending, 48), ["src", "place"]).groupBy("src", "place").agg(F.sum("size").alias("size")).collect():
+        units[r["src"]].append((r["place"], r["size"]))
+    chosen = {n: nearest(sorted(units[n]), left[n]) if left[n] > 0 else [] for n in names}
+    cut = {n: block_of(ranges[n][0], b) for n, b in zip(names, blocks, strict=True)}
+
+    full: dict[str, list] = {n: [] for n in names}
+    for r in placed.select("src", block_of(F.col("place"), F.col("blocks")).alias("block")).distinct().collect():
+        full[r["src"]].append(r["block"])
+    draws, last = [], len(names) * [None]
     for i, n in enumerate(names):
-        blocks = np.array(sorted(b for b, _ in first[n]), np.int64)
+        mine = np.array(sorted(full[n]), np.int64)
         for p in range(passes[i] + 1):
-            order = np.random.Generator(np.random.PCG64([spec.seed, i, p])).permutation(blocks)
-            draws += [(i, n, p, int(b)) for b in order if p < passes[i] or b <= last[n]]
-    total = np.bincount([d[0] for d in draws], minlength=len(names)) if draws else np.zeros(len(names), np.int64)
-    ends = np.cumsum(split_tree(total, spec.shards, spec.seed), axis=0) if names else np.zeros((spec.shards, 0))
-    seen, dealt = [0] * len(names), []
-    for i, n, p, b in draws:
-        dealt.append((n, b, p, int(np.searchsorted(ends[:, i], seen[i], side="right"))))
+            order = np.random.Generator(np.random.PCG64([spec.seed, i, p])).permutation(mine)
+            draws += [(i, p, int(b)) for b in order if p < passes[i] or want[n] > 0 and b < cut[n]]
+        if want[n] > 0:
+            draws.append((i, passes[i], -1))
+    quota = np.bincount([d[0] for d in draws], minlength=len(names)) if draws else np.zeros(len(names), np.int64)
+    ends = np.cumsum(split_tree(quota, shards, spec.seed), axis=0) if names else np.zeros((shards, 0))
+    seen, dealt = [0] * len(names), {}
+    for i, p, b in draws:
+        shard = int(np.searchsorted(ends[:, i], seen[i], side="right"))
         seen[i] += 1
-    flat = spark.createDataFrame(dealt, "_src string, _block long, pass int, shard int")
-    return sources, flat.groupBy("_src", "_block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("draws"))
-
-
-def _reach(counts: list[tuple[int, int]], block: int) -> int:
-    """The block, from the given one on, by which there are enough documents to end a pass with."""
-    seen = 0
-    for b, n in counts:
-        if b >= block:
-            block, seen = b, seen + n
-            if seen >= ENDING:
-                break
-    return block
-
-
-def drawn(rows: DataFrame, slim: DataFrame, spec: MixSpec) -> DataFrame:
-    """rows of measured() with source_size, target and the draws array of each row: (pass, shard)."""
-    sources, draws = plan(slim, spec)
-    out = rows.withColumn("_block", _block(BITS)).join(small_side(sources, 4096), "_src", "left").join(small_side(draws, 256), ["_src", "_block"], "left")
-    partial = (F.col("_hash") < F.col("cut")) | F.array_contains("chosen", F.col("_hash"))
-    passes = F.col("passes")
-    mine = F.filter("draws", lambda d: (F.col("_size") > 0) & ((d["pass"] < passes) | partial))
-    return out.withColumn("draws", F.coalesce(mine, F.expr("array()").cast("array<struct<pass:int,shard:int>>"))).drop("passes", "cut", "chosen", "_block")
+        if b < 0:
+            last[i] = shard
+        else:
+            dealt.setdefault((names[i], b), []).append((p, shard))
+    sources = spark.createDataFrame(
+        [(n, sizes[i], float(goal[i]), blocks[i], cut[n], ranges[n][0], chosen[n], passes[i], last[i]) for i, n in enumerate(names)],
+        "src string, source_size long, target double, blocks long, cut long, low long, chosen array<long>, passes int, last int",
+    )
+    flat = spark.createDataFrame([(n, b, d) for (n, b), d in dealt.items()], "src string, block long, draws array<struct<pass:int,shard:int>>")
+    return Plan(sources, flat, shards)
 
 
-def _slim(rows: DataFrame) -> DataFrame:
-    return stored(rows.select("_src", "_size", "_hash"), "sizes")
+def drawn(rows: DataFrame, made: Plan, size: str, src: str, place: str) -> DataFrame:
+    """(row: all columns of rows, source_size, target, draws: array of (pass, shard)), the draws as the tree's leaves have them."""
+    out = rows.select(F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("row"))
+    mine = lambda c: F.col("row").getField(c)
+    out = out.withColumn("src", mine(src)).join(small_side(made.sources, 2048), "src", "left")
+    out = out.withColumn("block", block_of(mine(place), F.col("blocks"))).join(small_side(made.draws, 64), ["src", "block"], "left")
+    ends = F.col("last").isNotNull() & (((F.col("block") == F.col("cut")) & (mine(place) < F.col("low"))) | F.array_contains("chosen", mine(place)))
+    none = F.expr("array()").cast("array<struct<pass:int,shard:int>>")
+    more = F.when(ends, F.array(F.struct(F.col("passes").alias("pass"), F.col("last").alias("shard")))).otherwise(none)
+    return out.select("row", "source_size", "target", F.when(mine(size) > 0, F.concat(F.coalesce("draws", none), more)).otherwise(none).alias("draws"))
 
 
 def quotas(docs: DataFrame, spec: MixSpec = MixSpec(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, size, source_size, target, taken, draws) of each row of docs."""
-    rows = measured(docs, spec, id_col, text_col, source_col)
-    slim = stored(rows.select(F.col(id_col).cast("long").alias("doc_id"), "_src", "_size", "_hash"), "sizes")
-    return drawn(slim, slim, spec).select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.size("draws")).alias("taken"), "draws")
+    """(doc_id, size, source_size, target, taken, shards: of each draw) of each row of docs."""
+    size, src, place = measured(docs, spec, id_col, text_col, source_col)
+    slim = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), size.alias("size"), src.alias("src"), place.alias("place")), "sizes")
+    out = drawn(slim, plan(slim, spec), "size", "src", "place")
+    return out.select("row.doc_id", "row.size", "source_size", "target", (F.col("row.size") * F.size("draws")).alias("taken"), F.transform("draws", lambda d: d["shard"]).alias("shards"))
 
 
 def mix(docs: DataFrame, spec: MixSpec = MixSpec(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shard_out: str = "shard") -> DataFrame:
-    """The mixed corpus: docs' columns plus the shard, one row per draw, shards apart and shuffled inside."""
-    names = docs.columns
-    rows = measured(docs, spec, id_col, text_col, source_col)
-    out = drawn(rows, _slim(rows), spec).withColumn("_draw", F.explode("draws"))
+    """The mixed corpus: docs' columns plus the shard, in place of a column of this name, one row per draw, shards apart and
+    shuffled inside. A shard is dealt to as many tasks as fill the partitions."""
+    docs = without(docs, shard_out)
+    size, src, place = (fresh(docs, n) for n in ("size", "src", "place"))
+    rows = docs.withColumns(dict(zip((size, src, place), measured(docs, spec, id_col, text_col, source_col), strict=True)))
+    made = plan(stored(rows.select(F.col(size).alias("size"), F.col(src).alias("src"), F.col(place).alias("place")), "sizes"), spec)
+    each = drawn(rows, made, size, src, place).select("row", F.explode("draws").alias("draw"))
+    spread = max(1, 4 * partitions(docs.sparkSession) // made.shards)
     return (
-        out.withColumn("_shard", F.col("_draw.shard"))
-        .withColumn("_order", F.xxhash64("_hash", "_draw.pass", F.lit(spec.seed)))
-        .repartition("_shard", F.pmod("_order", F.lit(16)))
-        .sortWithinPartitions("_shard", "_order")
-        .select(*(F.col(f"`{n}`") for n in names), F.col("_shard").alias(shard_out))
+        each.withColumn("shard", F.col("draw.shard")).withColumn("order", F.xxhash64(F.col("row").getField(place), "draw.pass", F.lit(spec.seed)))
+        .repartition("shard", F.pmod("order", F.lit(spread))).sortWithinPartitions("shard", "order")
+        .select(*(F.col("row").getField(n).alias(n) for n in docs.columns), F.col("shard").alias(shard_out))
     )

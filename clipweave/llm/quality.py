@@ -5,7 +5,9 @@ sample of labelled rows, with at most 64 bins a statistic, and flattened into ar
 numpy walks for a whole batch at once.
 
 Nulls: a null text is the empty text; rows of null label are not learned from. Without labelled rows every
-score is the prior 0.5. Other columns are ignored.
+score is the prior 0.5. A long text takes memory of some times its size, one at a time. Repeated rows get equal scores,
+repeated labels count each; of equal splits the first statistic's wins. An empty table gives an empty result. Other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -141,15 +143,15 @@ def boost(x: np.ndarray, y: np.ndarray, spec: BoostSpec) -> Forest:
 
 def fit(docs: DataFrame, labels: DataFrame, spec: BoostSpec = BoostSpec(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Forest | None:
     """Learns from the labelled documents among docs, at most spec.sample of them."""
-    known = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("double").alias("_y")).where("_id is not null and _y is not null")
+    known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("double").alias("y")).where("id is not null and y is not null")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     # the ids are cut to the bound before any text moves; the bound also bounds the broadcast
-    chosen = known.join(docs.select(F.col(id_col).cast("long").alias("_id")), "_id", "left_semi").orderBy(F.xxhash64("_id"), "_id", "_y").limit(spec.sample)
-    rows = docs.withColumn("_id", F.col(id_col).cast("long")).join(F.broadcast(chosen), "_id")
-    found = with_statistics(rows, text_col, keep=("_id", "_y")).collect()
+    chosen = known.join(texts.select("id"), "id", "left_semi").orderBy(F.xxhash64("id"), "id", "y").limit(spec.sample)
+    found = with_statistics(texts.join(F.broadcast(chosen), "id"), "text", keep=("id", "y")).collect()
     if not found:
         return None
-    found.sort(key=lambda r: (r["_id"], r["_y"], r["stats"]))
-    return boost(np.array([r["stats"] for r in found]), np.array([r["_y"] for r in found]), spec)
+    found.sort(key=lambda r: (r["id"], r["y"], r["stats"]))
+    return boost(np.array([r["stats"] for r in found]), np.array([r["y"] for r in found]), spec)
 
 
 def predict(docs: DataFrame, forest: Forest | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

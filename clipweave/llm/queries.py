@@ -53,7 +53,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.quotas(table(spark, sf_dir, "documents")).drop("draws")
+    return mixing.quotas(table(spark, sf_dir, "documents"))
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
