@@ -37,10 +37,9 @@ def remainder(n: int):
 
 def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fingerprint.with_edits(table(spark, sf_dir, "documents"))
-    mine, edited, following = F.col("lanes"), F.col("edited_lanes"), F.col("next_lanes")
+    mine, edited, following = F.col("f"), F.col("edited_f"), F.col("next_f")
     return made.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint.printed(mine).alias("fingerprint"), fingerprint.printed(edited).alias("edited_fingerprint"),
+        "doc_id", "n_chars", "edited_sha256", fingerprint.printed(mine).alias("fingerprint"), fingerprint.printed(edited).alias("edited_fingerprint"),
         fingerprint.likeness(mine, edited).alias("near_edited"), fingerprint.likeness(mine, following).alias("near_next"),
     )
 

@@ -26,14 +26,72 @@ def docs_of(spark, folder=SF):
 # -- 1
 
 
+PIECE = re.compile(r"(?:\S{1,64}[^\S\n]*){1,4}|[^\S\n]+")
+
+
+def multiset(text):
+    return collections.Counter(text.split("\n")), collections.Counter(PIECE.findall(text))
+
+
+def slow_fingerprints(spark, texts):
+    """Vectors summed one by one in Python, from the hashes of single paragraphs and pieces."""
+    items = sorted({(2, p) for t in texts for p in t.split("\n")} | {(1, p) for t in texts for p in PIECE.findall(t)})
+    rows = spark.createDataFrame(items, "kind int, item string").select("kind", "item", *(F.when(F.col("kind") == 1, fingerprint.piece_hash(F.col("item"), k)).otherwise(fingerprint.piece_hash(F.col("item"), k + 2)).alias(f"h{k}") for k in (1, 2)))
+    hashes = {(r["kind"], r["item"]): (r["h1"] % (1 << 64), r["h2"] % (1 << 64)) for r in rows.collect()}
+    out = {}
+    for t in texts:
+        wide, lanes, held = [0] * 4, [0] * 128, multiset(t)
+        for p, n in held[0].items():
+            for k, h in enumerate(hashes[2, p]):
+                wide[2 * k] += n * (h >> 32)
+                wide[2 * k + 1] += n * (h & 0xFFFFFFFF)
+        for p, n in held[1].items():
+            for k, h in enumerate(hashes[1, p]):
+                for j in range(32):  # the lanes of bits j + 32 and j are printed together
+                    lanes[64 * k + 2 * j] += n * (h >> (32 + j) & 1)
+                    lanes[64 * k + 2 * j + 1] += n * (h >> j & 1)
+        out[t] = f"{sum(held[0].values()):08x}" + "".join(f"{x % (1 << 32):08x}" for x in wide) + f"{sum(held[1].values()):08x}" + "".join(f"{x % (1 << 16):04x}" for x in lanes)
+    return out
+
+
+def test_fingerprints_are_sums_of_paragraphs(spark):
+    rng = random.Random(3)
+    words = ["one", "two", "three", "four", "five", "é", "漢字", "x" * 150, "\t", " "]
+    texts = ["", "\n", "one two\nthree", "three\none two", "one two\nthree\n"] + [" ".join(rng.choice(words) + rng.choice(["", "\n"]) for _ in range(rng.randint(0, 40))) for _ in range(40)]
+    texts += ["\n".join(rng.sample(t.split("\n"), len(t.split("\n")))) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["fingerprint"] for r in fingerprint.fingerprints(df).collect()}
+    want = slow_fingerprints(spark, texts)
+    assert got == {i: want[t] for i, t in enumerate(texts)}
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts[:i]):
+            assert (got[i] == got[j]) == (collections.Counter(a.split("\n")) == collections.Counter(b.split("\n")))
+
+
 def test_fingerprint_algebra(spark):
-    row = spark.createDataFrame([("one two three\nfour five\n", "four five\none two three\n", "four five\n", "one two three\n")], "a string, b string, c string, d string")
-    f = {k: fingerprint.lanes(F.col(k)) for k in "abcd"}
-    got = row.select(
-        (fingerprint.printed(f["a"]) == fingerprint.printed(f["b"])).alias("order"), (fingerprint.printed(f["a"]) == fingerprint.printed(fingerprint.plus(f["c"], f["d"]))).alias("plus"),
-        (fingerprint.printed(f["d"]) == fingerprint.printed(fingerprint.minus(f["a"], f["c"]))).alias("minus"), fingerprint.likeness(f["a"], f["b"]).alias("same"), (fingerprint.printed(f["a"]) != fingerprint.printed(f["d"])).alias("other"),
+    texts = ["one two three\nfour five", "four five\none two three", "four five", "one two three", "", "x\n\ny"]
+    rows = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "doc_id long, x int, text string")
+    f = {r["doc_id"]: r["f"] for r in fingerprint.fingerprints(rows).collect()}
+    kind = fingerprint.fingerprints(rows).schema["f"].dataType
+    from pyspark.sql.types import StructField, StructType
+
+    one = spark.createDataFrame([tuple(f[i] for i in range(6))], StructType([StructField(c, kind) for c in "abcdef"]))
+    p, col = fingerprint.printed, F.col
+    got = one.select(
+        (p(col("a")) == p(col("b"))).alias("order"), (p(col("a")) == p(fingerprint.plus(col("c"), col("d")))).alias("plus"), (p(col("d")) == p(fingerprint.minus(col("a"), col("c")))).alias("minus"),
+        fingerprint.likeness(col("a"), col("b")).alias("same"), (p(col("a")) != p(col("d"))).alias("other"), (p(fingerprint.minus(fingerprint.plus(col("f"), col("a")), col("f"))) == p(col("a"))).alias("back"),
     ).first()
-    assert got["order"] and got["plus"] and got["minus"] and got["same"] == 1.0 and got["other"]
+    assert got["order"] and got["plus"] and got["minus"] and got["same"] == 1.0 and got["other"] and got["back"]
+
+
+def far_apart(a, b):
+    """Squared differences of the counts of pieces, as a share of all pieces."""
+    x, y = multiset(a)[1], multiset(b)[1]
+    return sum((x[p] - y[p]) ** 2 for p in x | y) / max(1, x.total() + y.total())
+
+
+def near(likeness, apart):
+    return abs(1 - likeness - apart) <= 0.6 * apart or likeness == 0 and apart > 0.6
 
 
 def edited_by_hand(rows):
@@ -51,10 +109,12 @@ def test_op1(spark):
     want = edited_by_hand(rows)
     got = {r["doc_id"]: r for r in queries.op1_document_fingerprints(spark, SF).collect()}
     assert {k: r["edited_sha256"] for k, r in got.items()} == {k: sha(t) for k, t in want.items()}
-    by_text = collections.defaultdict(set)
+    slow = slow_fingerprints(spark, {t for _, t in rows} | set(want.values()))
+    following = dict(zip(sorted((k for k, _ in rows), reverse=True), sorted((k for k, _ in rows), reverse=True)[1:] + [max(k for k, _ in rows)]))
+    texts = dict(rows)
     for k, t in rows:
-        by_text[t].add(got[k]["fingerprint"])
-    assert all(len(v) == 1 for v in by_text.values()) and len({next(iter(v)) for v in by_text.values()}) == len(by_text)
+        assert got[k]["fingerprint"] == slow[t] and got[k]["edited_fingerprint"] == slow[want[k]] and got[k]["n_chars"] == len(t)
+        assert near(got[k]["near_edited"], far_apart(t, want[k])) and near(got[k]["near_next"], far_apart(t, texts[following[k]]))
     assert np.mean([r["near_edited"] for r in got.values()]) > 0.55 > 0.2 > np.mean([r["near_next"] for r in got.values()])
 
 
@@ -62,7 +122,9 @@ def test_op1_odd(odd, empty):
     got = fingerprint.with_edits(odd).collect()
     assert len(got) == odd.count() and sorted(str(r["doc_id"]) for r in got) == sorted(str(r["doc_id"]) for r in odd.collect())
     assert fingerprint.with_edits(empty).count() == 0
-    assert fingerprint.fingerprints(odd).where("doc_id = 4").first()["fingerprint"].strip("0") == ""
+    assert all(len({r["edited_sha256"] for r in got if r["doc_id"] == i}) == 1 for i in (7, 10))
+    alike = {r["doc_id"]: r["fingerprint"] for r in fingerprint.fingerprints(odd).collect()}
+    assert alike[3] == alike[4] == "00000001" + alike[4][8:] and alike[1] == alike[2] != alike[11] and fingerprint.fingerprints(odd).where("doc_id = 10").count() == 2
 
 
 # -- 2
