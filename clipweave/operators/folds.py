@@ -1,8 +1,7 @@
 """Ordered folds: operators whose step depends on what was kept or merged before.
 
 `ordered_fold` streams rows in order through a Python step with constant state, so a key of any size is
-folded without being gathered. `gap_dedup` needs no Python: a gap in the input always starts anew, so
-each stretch between gaps is folded alone in a higher-order function.
+folded without being gathered, in time that grows with its rows.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,13 +49,15 @@ def _batch(rows: list[dict], fields: list[str], kinds: pa.Schema) -> pa.RecordBa
 
 
 def gap_dedup(rows: DataFrame, key: str, at: str, gap: int) -> DataFrame:
-    """(key, at): whole-number times of which each is more than gap after the last one kept."""
-    by_key = Window.partitionBy(key).orderBy(at)
-    fresh = rows.select(key, at).withColumn("_new", (F.col(at) - F.lag(at).over(by_key) > gap).cast("int"))
-    runs = fresh.withColumn("_run", F.sum(F.coalesce("_new", F.lit(0))).over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
-    times = runs.groupBy(key, "_run").agg(F.sort_array(F.collect_list(at)).alias("ts"))
-    kept = F.aggregate("ts", F.array().cast("array<bigint>"), lambda out, t: F.when((F.size(out) == 0) | (t - F.element_at(out, -1) > gap), F.concat(out, F.array(t))).otherwise(out))
-    return times.select(key, F.explode(kept).alias(at))
+    """(key, at): whole-number times of which each is more than gap after the last one kept. The state is that one."""
+    kinds = dict(rows.dtypes)
+
+    def step(last, row):
+        keeps = last is None or row[at] - last > gap
+        return (row[at] if keeps else last), [row] if keeps else []
+
+    named = rows.select(key, at).where(F.col(at).isNotNull())
+    return ordered_fold(named, [key], [at], lambda: None, step, lambda last: [], f"{key} {kinds[key]}, {at} {kinds[at]}")
 
 
 def size_batches(rows: DataFrame, key: str, order: list[str], size: str, limit: int, keep: list[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators against small cases worked out by hand, and properties."""
 
 import json
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -22,24 +23,30 @@ RULES = config.SliceRules()
         (12, [5.0, 5.25], [(0, 5), (5.25, 12)]), (20, [10, 18.5], [(0, 10), (10, 18.5)]),
     ],
 )
-def test_plan_cuts(duration, scenes, cuts):
-    assert intervals.plan_cuts(duration, scenes) == cuts
+def test_plan_cuts(spark, duration, scenes, cuts):
+    assert plans(spark, [(duration, scenes)])[0] == cuts
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.floats(10, 300), st.lists(st.floats(0, 300), max_size=30))
-def test_plan_cuts_are_ordered_and_long_enough(duration, scenes):
-    cuts = intervals.plan_cuts(duration, scenes)
-    assert all(b - a >= RULES.shortest - RULES.slack - 0.02 for a, b in cuts)
-    assert all(x[1] <= y[0] + 1e-9 for x, y in zip(cuts, cuts[1:]))
+def plans(spark, sources):
+    rows = spark.createDataFrame([(i, float(d), [float(x) for x in s]) for i, (d, s) in enumerate(sources)], "i int, duration double, scenes array<double>")
+    return [[tuple(c) for c in r["cuts"]] for r in intervals.with_cuts(rows, "duration", "scenes").orderBy("i").collect()]
+
+
+def test_plan_cuts_are_ordered_and_long_enough(spark):
+    rng = random.Random(4)
+    sources = [(rng.uniform(10, 300), sorted(rng.uniform(0, 300) for _ in range(rng.randint(0, 30)))) for _ in range(200)]
+    for cuts in plans(spark, sources):
+        assert all(b - a >= RULES.shortest - RULES.slack - 0.02 for a, b in cuts)
+        assert all(x[1] <= y[0] + 1e-9 for x, y in zip(cuts, cuts[1:]))
 
 
 @pytest.mark.parametrize(
     ("cuts", "sentences", "snapped"),
     [([(0, 5), (5, 12), (12, 20)], [(4, 6), (6, 13)], [(0, 6), (6, 13), (13, 20)]), ([(0, 20)], [(0, 20)], [(0, 8), (8, 16), (16, 20)]), ([(0, 5), (5, 9)], [], [(0, 5), (5, 9)])],
 )
-def test_snap_cuts(cuts, sentences, snapped):
-    assert intervals.snap_cuts(cuts, sentences) == snapped
+def test_snap_cuts(spark, cuts, sentences, snapped):
+    row = spark.createDataFrame([([tuple(map(float, c)) for c in cuts], [tuple(map(float, x)) for x in sentences])], f"cuts {intervals.CUTS}, said {intervals.CUTS}")
+    assert [tuple(c) for c in row.select(intervals.snapped(F.col("cuts"), F.col("said")).alias("c")).first()["c"]] == snapped
 
 
 def test_with_cuts_keeps_rows(spark):
@@ -138,11 +145,12 @@ def test_library(spark):
     assert [tuple(r) for r in library.ledger_rows(table, ["key", "status"]).orderBy("key").collect()] == [("abc", "done"), ("def", "failed")]
 
 
-def test_align():
-    durations, speeds = planner.align([4, 6, 5, 7], [1, 1, 1, 1], 21)
-    assert durations == [4, 5.63, 5, 6.36] and speeds == [1, 1.065, 1, 1.1]
-    assert abs(sum(planner.align([4, 6, 5, 7], [1] * 4, 24)[0]) - 24) < 0.15
-    assert abs(sum(planner.align([4, 6, 5, 7], [1] * 4, 20)[0]) - 20.36) < 0.15
+def test_align(spark):
+    rows = spark.createDataFrame([(t, [4.0, 6.0, 5.0, 7.0]) for t in (21.0, 24.0, 20.0)] + [(9.0, [5.0]), (9.0, [])], "target double, durations array<double>")
+    got = [(r["target"], r["out_durations"], r["speeds"]) for r in planner.aligned(rows, "durations", "target").collect()]
+    assert (21.0, [4, 5.63, 5, 6.36], [1, 1.065, 1, 1.1]) in got and (9.0, [5.0], [1.0]) in got and (9.0, [], []) in got
+    sums = {t: sum(d) for t, d, _ in got if len(d) == 4}
+    assert abs(sums[24.0] - 24) < 0.15 and abs(sums[20.0] - 20.36) < 0.15
 
 
 def test_seeded_plans(spark):
@@ -168,10 +176,12 @@ def test_seeded_plans_count_earlier_uses(spark):
 
 
 def test_overlap_join(spark):
-    segments = spark.createDataFrame([(1, 0, 0, 5000), (1, 1, 5000, 12000), (1, 2, 20000, 21000)], "k int, seg_id int, s bigint, e bigint")
+    segments = spark.createDataFrame([(1, 0, 0, 5000), (1, 1, 5000, 12000), (1, 2, 20000, 21000), (2, 5, 4000, 6000)], "k int, seg_id int, s bigint, e bigint")
     spoken = spark.createDataFrame([(1, 7, 4000, 5500, "x"), (1, 8, 6000, 7000, "y")], "k int, sent_id int, ss bigint, se bigint, said string")
     got = {r["seg_id"]: r["speech"] for r in intervals.spoken_text(segments, spoken, "k", width=3000).collect()}
-    assert got == {0: "x", 1: "y", 2: ""}
+    assert got == {0: "x", 1: "y", 2: "", 5: ""}
+    twin = spark.createDataFrame([(1, 0, 0, 5000), (2, 0, 0, 5000)], "k int, seg_id int, s bigint, e bigint")
+    assert sorted((r["k"], r["speech"]) for r in intervals.spoken_text(twin, spoken, "k").collect()) == [(1, "x"), (2, "")]
 
 
 def test_row_list(spark, tmp_path):
