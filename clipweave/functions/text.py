@@ -119,12 +119,12 @@ def violations(script: Column, price: Column, appearance: Column, forbidden: Col
     return F.concat(said, wrong_price, wrong_hue)
 
 
-def clip_fault(duration: Column, width: Column, height: Column, want: Column, want_width: Column, want_height: Column) -> Column:
-    """Why an exported clip fails, or null; the first reason counts."""
+def clip_fault(duration: Column, width: Column, height: Column, want: Column, want_width: Column, want_height: Column, tolerance: float = 1.0) -> Column:
+    """Why an exported clip fails, or null; the first reason counts. Durations may differ by the tolerance."""
     return (
         F.when(duration <= 0, "no duration")
         .when((width != want_width) | (height != want_height), "wrong size")
-        .when(F.abs(duration - want) > 1.0, "wrong duration")
+        .when(F.abs(duration - want) > tolerance, "wrong duration")
     )
 
 
@@ -146,3 +146,9 @@ def probe_times(start_ms: Column, end_ms: Column) -> Column:
     """Near the start, the middle, near the end; none in the last tenth of a second."""
     points = F.array(start_ms + 300, F.floor((start_ms + end_ms) / 2), F.greatest(start_ms + 300, end_ms - 300))
     return F.transform(points, lambda t: F.least(t, end_ms - 100))
+
+
+def category_reason(name: Column, keywords: dict[str, str], otherwise: str = config.REVIEW) -> Column:
+    """struct<category, reason>: of the first keyword, in order, that the name contains."""
+    word = first_category(name, {w: w for w in keywords}, "")
+    return F.struct(first_category(name, keywords, otherwise).alias("category"), F.when(word == "", "none").otherwise(F.concat(F.lit("keyword "), word)).alias("reason"))

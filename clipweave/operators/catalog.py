@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipweave import config
-from clipweave.functions.text import like_any, suffix
+from clipweave.functions.text import is_video, like_any, suffix
 from clipweave.storage import extended, new_path, stored
 
 
@@ -55,3 +55,51 @@ def tree_paths(edges: DataFrame, node: str, parent: str, name: str) -> DataFrame
 def ranked(rows: DataFrame, keys: list[str], order: list, most: int) -> DataFrame:
     """The first rows of each key; Spark limits each partition's groups before it shuffles."""
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= most)
+
+
+def resolved(edges: DataFrame, node: str, parent: str, name: str, path: str):
+    """The node at a path of names from the root, by one lookup a part; of children of one name the least. A missing part is an error."""
+    at, seen = None, []
+    for part in path.split("/"):
+        under = F.col(parent).isNull() if at is None else F.col(parent) == F.lit(at)
+        seen.append(part)
+        at = child(edges.where(under), node, name, part)
+        if at is None:
+            raise FileNotFoundError("/".join(seen))
+    return at
+
+
+def child(children: DataFrame, node: str, name: str, wanted: str):
+    """The least node of this very name, or None."""
+    return children.where(F.col(name) == wanted).agg(F.min(node)).first()[0]
+
+
+def scanned(edges: DataFrame, node: str, parent: str, name: str) -> DataFrame:
+    """(node, path, depth, scan_ord): a tree's nodes in the order of their paths, which says what is seen first."""
+    from clipweave.operators.ledgers import numbered
+
+    return numbered(tree_paths(edges, node, parent, name), ["path", "node"], "scan_ord")
+
+
+def videos(files: DataFrame, mime: str, name: str) -> DataFrame:
+    return files.where(is_video(F.col(mime), F.col(name)))
+
+
+def trash(files: DataFrame, name: str, digest: str, order: str) -> DataFrame:
+    """The files that go, junk and redundant copies, each once."""
+    return files.transform(lambda f: classified(f, name, digest, order)).where("class IN ('junk', 'duplicate') OR redundant")
+
+
+def summary(files: DataFrame, name: str, digest: str, order: str) -> DataFrame:
+    """One row of counts: scanned, junk, redundant copies, groups that keep one, documents, trashed files."""
+    rows = classified(files, name, digest, order)
+    junk, document = like_any(F.col(name), config.JUNK), suffix(F.col(name)).isin(*config.DOCUMENTS)
+    return rows.agg(
+        F.count("*").alias("scanned"), F.count_if(junk).alias("junk"), F.count_if("redundant").alias("redundant"), F.count_if(F.col("copies").isNotNull() & ~F.col("redundant")).alias("kept"),
+        F.count_if(document & ~junk & ~F.col("redundant")).alias("documents"), F.count_if(junk | F.col("redundant")).alias("trashed"),
+    )
+
+
+def shown(rows: DataFrame, order: list, most: int = 20) -> tuple[DataFrame, int]:
+    """The first rows, and how many more there are."""
+    return rows.orderBy(*order).limit(most), max(0, rows.count() - most)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipweave.functions import text as X
-from clipweave.operators import captions, catalog, folds, intervals, library, planner, transcripts
+from clipweave.operators import captions, catalog, folds, intervals, library, media, planner, transcripts
 from clipweave.sources import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,7 +192,22 @@ def _sources(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").groupBy("user_id").agg(F.sort_array(F.collect_list(hour)).alias("scenes"), F.sort_array(F.collect_list(F.when(F.col("event_type") == "view", said))).alias("spoken")).withColumn("duration", F.lit(720.0))
 
 
-@query()
+HOURS = "(epoch_us(ts) // 1000 - 1704067200000) / 3600000.0::DOUBLE"
+SPAN = "STRUCT(s DOUBLE, e DOUBLE)[]"
+
+
+@query(f"""
+    WITH b AS (SELECT user_id, list_sort(list_distinct(list_concat([0.0::DOUBLE, 720.0::DOUBLE], list_filter(list({HOURS}), lambda t: t > 0.5 AND t < 719.5)))) AS b FROM events GROUP BY user_id),
+    i AS (SELECT user_id, b, list_filter(list_transform(range(1, len(b)), lambda k: {{'s': b[k], 'e': b[k + 1]}}), lambda x: x.e - x.s > 0.3) AS spans FROM b),
+    a AS (SELECT user_id, b, spans, list_reduce(spans, lambda acc, x: CASE WHEN x.e - coalesce(acc.waits, x.s) < 2 THEN {{'out': acc.out, 'waits': coalesce(acc.waits, x.s)}}
+        ELSE {{'out': list_append(acc.out, {{'s': coalesce(acc.waits, x.s), 'e': x.e}}), 'waits': NULL::DOUBLE}} END, {{'out': []::{SPAN}, 'waits': NULL::DOUBLE}}) AS r FROM i),
+    p AS (SELECT user_id, b, unnest(CASE WHEN r.waits IS NULL THEN r.out WHEN len(r.out) = 0 THEN [{{'s': r.waits, 'e': spans[-1].e}}] ELSE list_append(r.out[:-2], {{'s': r.out[-1].s, 'e': spans[-1].e}}) END) AS p FROM a),
+    q AS (SELECT user_id, p, list_concat(list_concat([p.s], list_filter(b, lambda t: t > p.s AND t < p.e)), [p.e]) AS c FROM p),
+    g AS (SELECT user_id, unnest(CASE WHEN p.e - p.s <= 8 THEN [p] ELSE list_reduce(list_transform(range(1, len(c)), lambda k: {{'s': c[k], 'e': c[k + 1]}}),
+        lambda acc, x: CASE WHEN len(acc) > 0 AND acc[-1].e - acc[-1].s < 2 THEN list_append(acc[:-2], {{'s': acc[-1].s, 'e': x.e}}) ELSE list_append(acc, x) END, []::{SPAN}) END) AS g, p.e - p.s > 8 AS long FROM q),
+    n AS (SELECT user_id, g.s AS s, g.e - g.s AS d, CASE WHEN long THEN greatest(1, round_even((g.e - g.s) / 8, 0)::INT) ELSE 1 END AS n FROM g),
+    k AS (SELECT user_id, s + unnest(range(0, n)) * d / n AS s, s + (unnest(range(0, n)) + 1) * d / n AS e FROM n)
+    SELECT user_id, (row_number() OVER (PARTITION BY user_id ORDER BY s) - 1)::INT AS cut_no, round(s, 2) AS start, round(e, 2) AS "end" FROM k WHERE e - s >= 1.7""")
 def cut_plan(spark: SparkSession, d: str) -> DataFrame:
     plans = intervals.with_cuts(_sources(spark, d).drop("spoken"), "duration", "scenes")
     return plans.select("user_id", F.posexplode("cuts").alias("cut_no", "cut")).select("user_id", "cut_no", "cut.start", "cut.end")
@@ -293,7 +308,7 @@ def char_jaccard(spark: SparkSession, d: str) -> DataFrame:
         CAST(floor(round(length(trim(text, {BLANK_SQL})) * 20 / 9.0) * 9 / 20) AS INT) AS chars FROM documents""")
 def speech_seconds(spark: SparkSession, d: str) -> DataFrame:
     tenths = F.round(X.seconds_to_say(F.col("text")) * 10).cast("long")
-    return table(spark, d, "documents").select("doc_id", tenths.alias("tenths"), F.floor(tenths * 9 / 20).cast("int").alias("chars"))
+    return table(spark, d, "documents").select("doc_id", tenths.alias("tenths"), X.chars_for(tenths / 10).alias("chars"))
 
 
 CAPTIONS = rf"""
@@ -334,14 +349,12 @@ def caption_events(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""
-    WITH n AS (SELECT doc_id, list_distinct(regexp_extract_all(text, '[0-9]+')) AS nums, contains(text, 'idiot') AS bad FROM documents)
-    SELECT doc_id, array_to_string(list_sort(list_filter(nums, lambda x: NOT list_contains(['19', '11', '2'], x))), ',') AS wrong, bad
-    FROM n WHERE len(nums) > 0 OR bad""")
+    SELECT doc_id, array_to_string(list_concat(CASE WHEN contains(text, 'idiot') THEN ['forbidden: idiot'] ELSE [] END,
+        CASE WHEN len(list_filter(regexp_extract_all(text, '([0-9]+)\s*[a-m]', 1), lambda x: x NOT IN ('19', '11', '2'))) > 0 THEN ['price'] ELSE [] END), ',') AS faults
+    FROM documents""")
 def price_check(spark: SparkSession, d: str) -> DataFrame:
-    numbers = F.array_distinct(F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0)))
-    known = F.regexp_extract_all(F.lit("19 for 11, or 2"), F.lit("[0-9]+"), F.lit(0))
-    rows = table(spark, d, "documents").select("doc_id", numbers.alias("nums"), F.contains("text", F.lit("idiot")).alias("bad"))
-    return rows.where("size(nums) > 0 OR bad").select("doc_id", F.array_join(F.array_sort(F.array_except("nums", known)), ",").alias("wrong"), "bad")
+    faults = X.violations(F.col("text"), F.lit("19 for 11, or 2"), F.lit(""), F.array(F.lit("idiot")), units="abcdefghijklm", colours="红")
+    return table(spark, d, "documents").select("doc_id", F.array_join(faults, ",").alias("faults"))
 
 
 @query("""
@@ -402,23 +415,19 @@ def ledger_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("key").try_cast("long").alias("o_orderkey"), "status", F.col("cents").try_cast("long").alias("cents"), "priority")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_quantity <= 5 THEN 'no duration' WHEN l_returnflag <> 'N' OR l_linestatus <> 'O' THEN 'wrong size' WHEN abs(l_quantity - 25) > 20 THEN 'wrong duration' END AS fault FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_quantity <= 5 THEN 'no duration' WHEN l_returnflag <> 'N' OR l_linestatus <> 'O' THEN 'wrong size' WHEN abs(l_quantity - 5 - l_linenumber * 5) > 1 THEN 'wrong duration' END AS fault FROM lineitem")
 def qc_reasons(spark: SparkSession, d: str) -> DataFrame:
-    fault = X.clip_fault(F.col("l_quantity") - 5, F.col("l_returnflag"), F.col("l_linestatus"), F.lit(0), F.lit("N"), F.lit("O"))
-    wide = F.when(fault == "wrong duration", F.when(F.abs(F.col("l_quantity") - 25) > 20, fault)).otherwise(fault)
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", wide.alias("fault"))
+    fault = X.clip_fault(F.col("l_quantity") - 5, F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber") * 5, F.lit("N"), F.lit("O"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", fault.alias("fault"))
 
 
 @query("""
-    SELECT o_orderkey, substring(md5(o_orderkey::VARCHAR), 1, 8) || '_' || lpad(i::VARCHAR, 3, '0') || '_' || o_orderpriority || '.mp4' AS name
-    FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders) WHERE o_orderstatus <> 'F' AND i < 1000""")
+    SELECT o_orderkey, substring(md5(o_orderkey::VARCHAR), 1, 8) || '_' || lpad(i::VARCHAR, greatest(3, length(i::VARCHAR))::INT, '0') || '_' || o_orderpriority || '.mp4' AS name
+    FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders) WHERE o_orderstatus <> 'F'""")
 def export_names(spark: SparkSession, d: str) -> DataFrame:
-    """Numbers are given before faulty clips go, so they have gaps; from 1000 up they have more than three digits. The SQL stops at 999."""
-    from pyspark.sql import Window
-
-    numbered = table(spark, d, "orders").withColumn("i", F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")))
-    name = F.concat(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 8), F.lit("_"), F.format_string("%03d", "i"), F.lit("_"), F.col("o_orderpriority"), F.lit(".mp4"))
-    return numbered.where("o_orderstatus <> 'F'").select("o_orderkey", name.alias("name"))
+    rows = table(spark, d, "orders").withColumn("md5", F.md5(F.col("o_orderkey").cast("string")))
+    fault = F.when(F.col("o_orderstatus") == "F", "faulty")
+    return media.exports(rows, "o_custkey", ["o_orderkey"], "md5", "o_orderpriority", fault).select("o_orderkey", "name")
 
 
 # -- choosing
@@ -445,7 +454,21 @@ def closest_topk(spark: SparkSession, d: str) -> DataFrame:
     return planner.closest(aims, ["p_brand", "target"], "p_size", "target", "used", "p_partkey").select("p_brand", "target", "p_partkey", F.col("rank").cast("long").alias("rank"))
 
 
-@query()
+@query("""
+    WITH RECURSIVE g AS (SELECT l_orderkey, list(l_quantity ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS d FROM lineitem GROUP BY l_orderkey),
+    o AS (SELECT l_orderkey, d, list_reduce(d, lambda a, x: a + x, 0.0::DOUBLE) * 0.97 AS target, list_transform(d, lambda x: 1.0::DOUBLE) AS speeds,
+        list_transform(list_sort(list_transform(range(2, len(d) + 1), lambda i: {'by': -d[i], 'pos': i})), lambda r: r.pos) AS ranks FROM g),
+    w AS (
+        SELECT l_orderkey, d, target, ranks, speeds, 0.0::DOUBLE AS off, 0 AS k FROM o
+        UNION ALL
+        SELECT l_orderkey, d, target, ranks, CASE WHEN moves THEN list_transform(speeds, lambda s, i: CASE WHEN i = pos THEN round(d[pos] / (now - sign(o2) * move), 3) ELSE s END) ELSE speeds END,
+            CASE WHEN moves THEN o2 - sign(o2) * move ELSE o2 END, k + 1
+        FROM (SELECT *, abs(o2) >= 0.05 AND move > 0.01 AS moves
+            FROM (SELECT *, least(abs(o2), CASE WHEN o2 > 0 THEN now - d[pos] / 1.1::DOUBLE ELSE d[pos] / 0.9::DOUBLE - now END) AS move
+                FROM (SELECT *, d[pos] / speeds[pos] AS now, CASE WHEN k % len(ranks) = 0 THEN list_reduce(list_transform(d, lambda x, i: x / speeds[i]), lambda a, x: a + x, 0.0::DOUBLE) - target ELSE off END AS o2
+                    FROM (SELECT *, ranks[k % len(ranks) + 1] AS pos FROM w WHERE len(ranks) > 0 AND k < 3 * len(ranks))))))
+    SELECT l_orderkey, (i - 1)::INT AS place, round(d[i] / speeds[i], 2) AS out_duration, speeds[i] AS speeds
+    FROM (SELECT l_orderkey, d, speeds, unnest(range(1, len(d) + 1)) AS i FROM w WHERE k = 3 * len(ranks))""")
 def align_durations(spark: SparkSession, d: str) -> DataFrame:
     rows = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     plans = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.transform(F.sort_array(F.collect_list(rows)), lambda r: r["l_quantity"]).alias("durations"))
@@ -458,3 +481,6 @@ def seeded_plan(spark: SparkSession, d: str) -> DataFrame:
     clips = _clips(spark, d).select(F.col("p_brand").alias("category"), F.col("p_partkey").alias("clip_id"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("stem"), F.col("p_type").alias("kind"), F.col("p_size").cast("double").alias("duration"), F.col("used").alias("usage"))
     clips = clips.withColumn("source", F.concat_ws("_", "stem", "kind")).drop("stem", "kind")
     return planner.seeded_plans(clips, list(range(20)), "Brand#1", 120.0)
+
+
+from clipweave.plans import records  # noqa: E402, F401  registers its queries

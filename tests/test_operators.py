@@ -238,3 +238,88 @@ def test_queries_match_sql(spark):
         assert a.equals(b), name
     for name in set(QUERIES) - set(SQL):
         assert QUERIES[name](spark, folder).count() > 0
+
+
+def test_ledger_layouts(spark):
+    from clipweave.operators import ledgers
+
+    text = "# T\n## A\n| # | x |\n|---|---|\n| 1 | p | f.mp4 | abc123 | 1MB | 5 | out | done | 2024 |\n| 2 | p | g.mp4 | def456 | 1MB | ² | out | skipped_short | a note | 2025 |\n|  | x | y |\n| 3 | few |\n## B\n| 1 | s | v | 2 | o | done | t |\n| 2 | s | v | x | o | done | t | 7 | b |"
+    lines = spark.createDataFrame([("f", i, x) for i, x in enumerate(text.split("\n"))], "file string, line_no int, line string")
+    rows = {r["md5"]: r for r in ledgers.slice_rows(ledgers.table_cells(lines, "## A")).collect()}
+    assert set(rows) == {"abc123", "def456"} and (rows["abc123"]["note"], rows["abc123"]["time"], rows["abc123"]["slice_count"]) == ("", "2024", 5)
+    assert (rows["def456"]["note"], rows["def456"]["time"], rows["def456"]["slice_count"]) == ("a note", "2025", 0)
+    assert sorted((r["count"], r["seed"], r["batch"]) for r in ledgers.mix_rows(ledgers.table_cells(lines, "## B")).collect()) == [(0, "7", "b"), (2, "", "")]
+    new = spark.createDataFrame([("x", ""), ("y", "then"), ("z", None)], "md5 string, time string")
+    assert {r["md5"]: r["time"] for r in ledgers.appended(new.limit(0), new, "time", F.lit("now")).collect()} == {"x": "now", "y": "then", "z": "now"}
+
+
+def test_numbered_rows(spark):
+    from clipweave.operators import ledgers
+
+    got = ledgers.numbered(spark.range(500).select((F.col("id") * 7 % 500).alias("k")).repartition(7), ["k"]).collect()
+    assert {r["k"]: r["number"] for r in got} == {i: i + 1 for i in range(500)}
+
+
+def test_decisions(spark):
+    from clipweave.operators import decisions
+
+    rows = spark.createDataFrame([("a", 1, 0.0, 5.0, "产品介绍"), ("a", 2, 4.0, 6.0, "产品介绍"), ("a", 3, 6.0, 6.0, "待复核"), ("b", 1, 0.0, 2.0, None)], "k string, index int, start double, end double, category string")
+    assert {tuple(r) for r in decisions.faults(rows, "k").collect()} == {("a", 2, "overlap"), ("a", 3, "span"), ("a", 3, "category"), ("b", 1, "category")}
+    files = spark.createDataFrame([("abcdefgh", 1), ("abcdefgh99", 2)], "name string, plan int")
+    sources = spark.createDataFrame([("abcdefgh99",), ("abcdefgh11",), ("zzz",), (None,)], "md5 string")
+    assert {r["md5"]: r["plan"] for r in decisions.looked_up(sources, files, "md5", "name", "plan").collect()} == {"abcdefgh99": 2, "abcdefgh11": 1, "zzz": None, None: None}
+    assert decisions.faults(decisions.template(rows, ["k"]), "k").where("fault = 'category'").count() == 4
+
+
+def test_forms(spark):
+    from clipweave.operators import forms
+
+    answers = spark.createDataFrame([(1, "状态", " 完成 "), (2, "处理范围", "a\nb\n"), (3, "混剪成片数", "x"), (4, "去重强度", "强"), (5, "状态", "OK")], "line_no int, item string, answer string")
+    got = forms.settings(answers, ("a", "c"), 2).first()
+    assert got["ready"] and got["scopes"] == ["a"] and got["mix_count"] == 5 and got["strength"] == "强" and got["mix_rows"] == [1, 2] and got["do_slice"] and got["size"] == "1080x1920"
+    assert got["warnings"] == ["unknown scope: b", "the number of mixes is none"]
+    scripts = spark.createDataFrame([(1, "19元11包"), (2, " "), (5, "25元一包")], "number int, text string")
+    price = (F.lit("19元11包"), F.lit(""), F.array(F.lit("根治")))
+    assert [(r["number"], r["fault"]) for r in forms.to_form(scripts, *price).collect()] == [(5, "price")]
+    assert [(r["number"], r["seconds"]) for r in forms.to_form(scripts.where("number < 5"), *price).collect()] == [(1, 1.3)]
+    tree = forms.simple_yaml("a: 1  # one\nb:\n  c: yes\n  d:\n    - x\n    - 'y z'\n# no\nlist:\n- 2\n- three\n")
+    assert tree == {"a": 1, "b": {"c": True, "d": ["x", "y z"]}, "list": [2, "three"]} and forms.setting(tree, "b.c") is True and forms.setting(tree, "b.q", 5) == 5
+    sheet = spark.createDataFrame([(1, "k", "v1"), (2, "", "v2"), (3, "m", None), (4, " ", "v3")], "at int, label string, value string").withColumn("f", F.lit(1))
+    assert {r["label"]: r["values"] for r in forms.sheet_rows(sheet, ["f"], "at").collect()} == {"k": ["v1", "v2"], "m": ["v3"]}
+
+
+def test_media(spark):
+    from clipweave.operators import media
+
+    bad = spark.createDataFrame([("{",), ("{}",), (None,), ('{"streams":[{"codec_type":"video","width":0,"height":5},{"codec_type":"video","width":4,"height":8,"r_frame_rate":"30000/1001"}],"format":{}}',)], "j string")
+    got = [r["i"] for r in bad.select(media.probed(F.col("j")).alias("i")).collect()]
+    assert [(i["width"], i["duration"], i["has_audio"], i["fps"]) for i in got[:3]] == [(0, 0.0, False, 0.0)] * 3
+    assert got[3]["height"] == 8 and got[3]["fps"] == pytest.approx(29.97, abs=0.01)
+    row = spark.range(1).select(media.sample_name(F.lit(12000)).alias("s"), media.drawn_text(F.lit("a:b'c%\\")).alias("d"), media.export_name(F.lit("0123456789"), F.lit(1000), F.lit("x")).alias("n"), media.status(F.lit(5.0), F.lit(False)).alias("t"), media.status(F.lit(5.0), F.lit(False), shorts=True).alias("u")).first()
+    assert tuple(row) == ("sub_00012.0.jpg", "a\\:b\\'c\\%\\\\", "01234567_1000_x.mp4", "skipped_short", "done")
+
+
+def test_resolved_paths(spark):
+    edges = spark.createDataFrame([(1, None, "a"), (2, 1, "b"), (3, 1, "c"), (4, 2, "d")], "node int, parent int, name string")
+    assert catalog.resolved(edges, "node", "parent", "name", "a/b/d") == 4 and catalog.child(edges, "node", "name", "zz") is None
+    with pytest.raises(FileNotFoundError, match="a/x"):
+        catalog.resolved(edges, "node", "parent", "name", "a/x/d")
+    assert [r["scan_ord"] for r in catalog.scanned(edges, "node", "parent", "name").orderBy("path").collect()] == [1, 2, 3, 4]
+
+
+def test_sentence_plans(spark):
+    clips = [(f"c{i}", i * 10 + j, f"s{i}{j}", 5.0 + j, 100 if j == 0 else 0) for i in range(5) for j in range(6)]
+    df = spark.createDataFrame(clips, "category string, clip_id bigint, source string, duration double, usage bigint")
+    script = spark.createDataFrame([("第一句话在这里。第二句话更长一些！短",)], "text string").withColumns({"total": F.lit(20.0), "hook": F.lit(5.0)})
+    targets = planner.sentence_targets(script, [], "text", "total", "hook")
+    assert sum(r["seconds"] for r in targets.collect()) == pytest.approx(15)
+    one, two = (sorted(map(tuple, planner.sentence_plans(df.where("category <> 'c0'"), targets, [1, 2, 3], df.where("category = 'c0'")).collect())) for _ in range(2))
+    assert one == two
+    for seed in (1, 2, 3):
+        mine = [r for r in one if r[0] == seed]
+        assert len(mine) == 4 and mine[0][2] == "c0" and mine[0][3] != 0 and len({r[3] for r in mine}) == 4
+    out = planner.assembled(spark.createDataFrame(one, "seed bigint, place int, category string, clip_id bigint, duration double, sentence_no int"), F.lit(25.0), by_script=True)
+    assert {r["speed"] for r in out.where("place = 0").collect()} == {1.0}
+    with pytest.raises(ValueError, match="hook"):
+        planner.sentence_plans(df, targets, [1], df.limit(0))
+    assert planner.clip_key is not None and spark.range(1).select(planner.clip_key(F.lit(""), F.lit("n"))).first()[0] == "n"
