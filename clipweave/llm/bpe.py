@@ -9,7 +9,9 @@ boundary window again: k tokens to either side, k growing until the token pairs
 themselves valid encodings. A sequence in which every adjacent pair is valid is the encoding of its bytes,
 so the tokens outside are proved stable. Decoding concatenates byte strings up the same tree.
 
-Nulls: a null text is the empty text, which has no ids. Any length works: memory is that of one text.
+Nulls: a null text is the empty text, which has no ids; null ids decode to none. Any length works: memory is that of
+one text and its ids. Repeated rows and ties are coded each for itself. An empty table gives an empty result. encode()
+and decode() keep all columns but those of the names of the columns that they add, which they replace.
 """
 
 from __future__ import annotations
@@ -17,7 +19,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -25,10 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipweave.llm.common import extended, tidied
+from clipweave.llm.common import extended, in_arrow, without
 
 #: Code points of a text leaf, bytes of a piece leaf, remembered pieces of a generation.
-TEXT_LEAF, PIECE_LEAF, MEMO = 16_384, 16, 60_000
+TEXT_LEAF, PIECE_LEAF, MEMO = 16_384, 16, 40_000
+#: Ids of a leaf of the decoding tree.
+DECODE_LEAF = 1024
 #: How far behind its end, in code points, a match of the pattern can depend on the text.
 REACH = 3
 
@@ -65,7 +68,7 @@ class TreeBPE:
         try:  # the compiled library encodes leaves and windows; the method below does the same
             import tiktoken
 
-            self.leaf = tiktoken.Encoding("leaves", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})._core_bpe.encode_single_piece
+            self.leaf = tiktoken.Encoding("leaves", pat_str=".", mergeable_ranks=self.ranks, special_tokens={})._core_bpe.encode_single_piece
         except ImportError:
             pass
         self.valid: dict[tuple[int, int], bool] = {}
@@ -150,21 +153,20 @@ class TreeBPE:
         return list(chain.from_iterable(map(self.memo.__getitem__, self.pieces(text))))
 
     def decode(self, ids: list[int]) -> bytes:
-        """Concatenation is associative: the tree's levels fold into one join."""
-        return b"".join(map(self.bytes_of.__getitem__, ids))
-
-
-@lru_cache(maxsize=4)
-def tree_bpe(rank_file: str, pattern: str) -> TreeBPE:
-    """One per worker process: the memo carries over from batch to batch and task to task."""
-    return TreeBPE(rank_file, pattern)
+        """Leaves of ids as bytes, neighbours concatenated up the tree."""
+        level = [b"".join(map(self.bytes_of.__getitem__, ids[i : i + DECODE_LEAF])) for i in range(0, len(ids), DECODE_LEAF)]
+        while len(level) > 1:
+            level = [b"".join(level[i : i + 2]) for i in range(0, len(level), 2)]
+        return level[0] if level else b""
 
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids", exact_col: str | None = None) -> DataFrame:
     """docs plus an array of ids and, if named, whether they decode to the text. rank_file is a path every executor has."""
 
+    docs = without(docs, ids_col, exact_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = tree_bpe(rank_file, pattern)
+        bpe = TreeBPE(rank_file, pattern)  # a task has its own, so that its memory goes when the task is over
         for batch in batches:
             for part in _slices(batch, text_col):
                 flat, ends, exact = [], [0], []
@@ -179,20 +181,21 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
                 more = [pa.array(exact, pa.bool_())] if exact_col else []
                 yield pa.RecordBatch.from_arrays([*part.columns, ids, *more], names=[*part.schema.names, ids_col, *([exact_col] if exact_col else [])])
 
-    return docs.mapInArrow(tidied(run), extended(docs.schema, **{ids_col: "array<int>"} | ({exact_col: "boolean"} if exact_col else {})))
+    return in_arrow(docs, run, extended(docs.schema, **{ids_col: "array<int>"} | ({exact_col: "boolean"} if exact_col else {})))
 
 
 def decode(docs: DataFrame, rank_file: str, pattern: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
     """docs plus the decoded bytes (binary); null ids decode to none."""
+    docs = without(docs, out_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = tree_bpe(rank_file, pattern)
+        bpe = TreeBPE(rank_file, pattern)  # a task has its own, so that its memory goes when the task is over
         for batch in batches:
             for part in _slices(batch, ids_col):
                 data = pa.array([bpe.decode(x.as_py() or []) for x in part.column(ids_col)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, data], names=[*part.schema.names, out_col])
 
-    return docs.mapInArrow(tidied(run), extended(docs.schema, **{out_col: "binary"}))
+    return in_arrow(docs, run, extended(docs.schema, **{out_col: "binary"}))
 
 
 def _slices(batch: pa.RecordBatch, text_col: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -207,9 +210,9 @@ def digests(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = tree_bpe(rank_file, pattern)
+        bpe = TreeBPE(rank_file, pattern)  # a task has its own, so that its memory goes when the task is over
         decimal = {i: str(i) for i in bpe.bytes_of}
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, "text")):
             count, told, back = [], [], []
             for text in batch.column("text"):
                 ids = bpe.encode(text.as_py() or "")
@@ -218,4 +221,4 @@ def digests(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id
                 back.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(told), pa.array(back)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return rows.mapInArrow(tidied(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return in_arrow(rows, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

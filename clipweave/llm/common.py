@@ -22,6 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch. Spark's default, 10,000 texts, is copied several times over outside the heap.
+BATCH_ROWS = 512
+
+
+def in_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow with batches small enough for whole texts, where the session doesn't ask for smaller ones; workers give
+    free memory back after a task."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(tidied(run), schema)
+
+
 def tidied(run):
     """run for mapInArrow; when a task is over, its worker, which the next task will use, gives free memory back."""
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipweave.llm.common import fresh, id_key, joined, partitions, stored, text_of, tidied
+from clipweave.llm.common import fresh, id_key, joined, partitions, stored, text_of, in_arrow
 
 #: Documents of one sender at most.
 BLOCK_ROWS = 1 << 16
@@ -100,7 +100,7 @@ def _pack(batches):
 def slim_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("fp"), F.sha2(text, 256).alias("sha"))
-    return stored(rows.mapInArrow(tidied(_pack), SLIM), "slim")
+    return stored(in_arrow(rows, _pack, SLIM), "slim")
 
 
 def suspects(slim: DataFrame, owners: int) -> DataFrame:

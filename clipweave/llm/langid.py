@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipweave.llm.common import extended, fresh, tidied, without
+from clipweave.llm.common import extended, fresh, in_arrow, without
 
 UNKNOWN = "und"
 WINDOW = 256
@@ -164,7 +164,7 @@ def sample(docs: DataFrame, spec: TrainSpec, id_col: str, text_col: str, lang_co
 
     key = F.xxhash64(F.col(id_col), F.col(text_col)).bitwiseAND(F.lit((1 << 40) - 1))
     chosen = named.where(draw < chance).select(key.alias("key"), F.col(text_col).cast("string"), F.col(lang_col).cast("string"))
-    rows = chosen.mapInArrow(tidied(windows), "key long, lang string, bytes binary").orderBy("key", "lang", "bytes").limit(spec.docs_per_lang * max(64, 2 * len(counts)) * each).collect()
+    rows = in_arrow(chosen, windows, "key long, lang string, bytes binary").orderBy("key", "lang", "bytes").limit(spec.docs_per_lang * max(64, 2 * len(counts)) * each).collect()
     return np.array([np.frombuffer(r["bytes"], np.uint8) for r in rows]).reshape(-1, WINDOW), [r["lang"] for r in rows]
 
 
@@ -198,7 +198,7 @@ def predict(docs: DataFrame, net: ByteNet | None, text_col: str = "text", lang_o
                     _score(model, held, langs, scores)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, lang_out, score_out])
 
-    return tagged.mapInArrow(tidied(run), schema)
+    return in_arrow(tagged, run, schema)
 
 
 def _score(model: Compiled, held: list[tuple[int, bytes]], langs: list[str], scores: list[float]) -> None:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipweave.llm.common import extended, text_of, tidied
+from clipweave.llm.common import extended, text_of, in_arrow
 
 STATS = (
     "log_bytes", "log_words", "word_bytes", "upper", "lower", "digit", "blank", "comma_dot", "marks", "symbols", "above_127",
@@ -75,7 +75,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text", keep: tuple[str, ..
             stats = pa.array([statistics(t.as_py()) for t in batch.column(len(keep))], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], stats], names=[*keep, "stats"])
 
-    return rows.mapInArrow(tidied(run), extended(rows.drop("_body").schema, stats="array<double>"))
+    return in_arrow(rows, run, extended(rows.drop("_body").schema, stats="array<double>"))
 
 
 @dataclass
@@ -164,4 +164,4 @@ def predict(docs: DataFrame, forest: Forest | None, id_col: str = "doc_id", text
             score = forest.score(x) if forest else np.full(batch.num_rows, 0.5)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
-    return stats.mapInArrow(tidied(run), "doc_id long, score double")
+    return in_arrow(stats, run, "doc_id long, score double")

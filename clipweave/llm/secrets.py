@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipweave.llm.common import tidied
+from clipweave.llm.common import in_arrow
 
 PATTERNS = {
     "cloud_key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
@@ -233,7 +233,7 @@ def scan(docs: DataFrame, forest: RandomForest, id_col: str = "doc_id", text_col
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)), pa.array(score, pa.float64())], names=["doc_id", "start", "end", "kind", "secret_sha256", "score"])
 
-    return rows.mapInArrow(tidied(run), FOUND)
+    return in_arrow(rows, run, FOUND)
 
 
 def secrets(docs: DataFrame, forest: RandomForest | None = None, least: float = 0.5, **columns: str) -> DataFrame:
