@@ -37,16 +37,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipweave.llm.common import NULL_ID, fresh, id_key, joined, partitions, small_side, stored, text_of, tidied
+from clipweave.llm.common import NULL_ID, drop_stored, fresh, id_key, joined, partitions, small_side, stored, text_of, in_arrow
 from clipweave.llm.exact_dedup import golomb_decode, golomb_encode
 from clipweave.llm.shingles import all_sets, mixed, slices
 
 #: Bytes of text whose sets are made together; offered hashes of a block; bits of the slot of an offered hash beyond those
 #: that tell all of them apart.
-SLICE, BLOCK, SPARE = 4 << 20, 1 << 19, 7
+SLICE, BLOCK, SPARE = 4 << 20, 1 << 18, 7
 #: Bits of the smallest bitmap; children of a tree node; node pairs looked at together.
 BITS, FANOUT, TOGETHER = 512, 8, 8192
 #: Orders in which a family's sets meet, one a round.
@@ -57,7 +57,7 @@ SIGNED = np.int64
 @dataclass(frozen=True)
 class JoinSpec:
     """words: of a shingle; percent: least similarity. chunk_rows, chunk_shingles: most rows of a chunk of a family, and most
-    shingles of its sets together (a larger set is a chunk of its own); all pairs of chunks that can link are looked into.
+    shingles before its last set; all pairs of chunks that can link are looked into.
     owner_values: hashes that an owner should get. name_bits: of a set's first name (fewer only in tests, to make names clash)."""
 
     words: int = 5
@@ -156,7 +156,7 @@ def _name_pass(rows: DataFrame, spec: JoinSpec) -> DataFrame:
         if about:
             yield out()
 
-    return stored(rows.mapInArrow(tidied(run), NAMED), "sets", partition_by="kind")
+    return stored(in_arrow(rows, run, NAMED), "sets", partition_by="kind")
 
 
 # -- the exchange: how often is a shingle found?
@@ -224,7 +224,7 @@ def _first_prefixes(blocks: DataFrame, spec: JoinSpec, clashed: np.ndarray) -> D
         who = np.concatenate(names)
         return pa.table({"key": _long(np.concatenate(keys)), "sid": _long(sid[who]), "n": _long(sizes[who])})
 
-    messages = blocks.select("key", "hashes").mapInArrow(tidied(send), "owner int, key long, message binary, times binary")
+    messages = in_arrow(blocks.select("key", "hashes"), send, "owner int, key long, message binary, times binary")
     answers = messages.groupBy("owner").applyInArrow(answer, "owner int, key long, levels binary")
     found = blocks.select("key", "sets", "more", "hashes").groupBy("key").cogroup(answers.groupBy("key")).applyInArrow(receive, "key long, sid long, n long")
     return stored(found, "prefixes")
@@ -370,23 +370,32 @@ def links_of(sets: list[np.ndarray], comps: np.ndarray, percent: int, sides: np.
 
 
 def chunked(members: DataFrame, spec: JoinSpec) -> DataFrame:
-    """From (key, comp, n, sid): (chunk, key, comp, n, sid). Rows are dealt by range, so many tasks share a large group; those
-    without a link go by size, the others by component. A chunk is a part of one group."""
+    """From (key, comp, n, sid): (chunk, key, comp, n, sid). Rows are sorted by range, so many tasks share a large family, and
+    numbered on across tasks, so that chunks are full however many tasks there are; those without a link go by size, the others
+    by component. A chunk is a part of one family."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, key, rows, held = (TaskContext.get().partitionId() << 32) - 1, None, 0, 0
+        key, rows, held = None, 0, 0
         for batch in batches:
-            out = []
+            at, before = [], []
             for k, n in zip(batch.column("key").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                if k != key or rows >= spec.chunk_rows or held + n > spec.chunk_shingles:
-                    chunk, key, rows, held = chunk + 1, k, 0, 0
+                if k != key:
+                    key, rows, held = k, 0, 0
+                at.append(rows)
+                before.append(held)
                 rows, held = rows + 1, held + n
-                out.append(chunk)
-            yield _batch(chunk=pa.array(out, pa.int64()), **{c: batch.column(c) for c in ("key", "comp", "n", "sid")})
+            part = pa.array(np.full(batch.num_rows, TaskContext.get().partitionId(), np.int64))
+            yield _batch(part=part, at=pa.array(at, pa.int64()), held=pa.array(before, pa.int64()), **{c: batch.column(c) for c in ("key", "comp", "n", "sid")})
 
     order = ["key", "kin", "n", "sid"]
     ordered = members.withColumn("kin", F.when(F.col("comp") != F.col("sid"), F.col("comp"))).repartitionByRange(*order).sortWithinPartitions(*order)
-    return stored(ordered.select("key", "comp", "n", "sid").mapInArrow(tidied(run), "chunk long, key long, comp long, n long, sid long"), "chunks")
+    rows = stored(in_arrow(ordered.select("key", "comp", "n", "sid"), run, "part long, at long, held long, key long, comp long, n long, sid long"), "ordered")
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("key", "part").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    starts = sums.select("key", "part", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("c"), F.coalesce(F.sum("s").over(before), F.lit(0)).alias("s"))
+    numbered = joined(rows, starts, ["key", "part"], "inner", 32)
+    chunk = F.xxhash64("key", F.floor((F.col("c") + F.col("at")) / spec.chunk_rows), F.floor((F.col("s") + F.col("held")) / spec.chunk_shingles))
+    return stored(numbered.select(chunk.alias("chunk"), "key", "comp", "n", "sid"), "chunks")
 
 
 def merged(part: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -426,7 +435,7 @@ def _bitmap_pass(units: DataFrame, percent: int) -> DataFrame:
                 yield _batch(**{c: pa.array(rows[:, k]) for k, c in enumerate(("unit", "part", "side", "comp", "n", "sid"))})
 
     ordered = units.repartition("unit").sortWithinPartitions("unit", "comp", "n", "sid").select("unit", "side", "comp", "n", "sid", "bits")
-    found = ordered.mapInArrow(tidied(run), "unit long, part long, side long, comp long, n long, sid long")
+    found = in_arrow(ordered, run, "unit long, part long, side long, comp long, n long, sid long")
     return stored(found.withColumn("unit", F.xxhash64("unit", "part")).drop("part"), "alive")
 
 
@@ -449,7 +458,7 @@ def _root_pass(rows: DataFrame) -> DataFrame:
             )
 
     ordered = rows.repartition("chunk").sortWithinPartitions("chunk", "n", "sid").select("chunk", "key", "comp", "n", "bits")
-    return ordered.mapInArrow(tidied(run), "key long, chunk long, comp long, lo long, hi long, bits binary, shared array<long>")
+    return in_arrow(ordered, run, "key long, chunk long, comp long, lo long, hi long, bits binary, shared array<long>")
 
 
 def chunk_pairs(roots: DataFrame, percent: int) -> DataFrame:
@@ -468,7 +477,7 @@ def chunk_pairs(roots: DataFrame, percent: int) -> DataFrame:
                 yield _batch(a=pa.array(chunk[i]), b=pa.array(chunk[j]))
 
     ordered = roots.repartition("key").sortWithinPartitions("key", "lo", "chunk")
-    return stored(ordered.mapInArrow(tidied(run), "a long, b long"), "chunkpairs")
+    return stored(in_arrow(ordered, run, "a long, b long"), "chunkpairs")
 
 
 def _tree_pass(units: DataFrame, percent: int) -> DataFrame:
@@ -483,7 +492,7 @@ def _tree_pass(units: DataFrame, percent: int) -> DataFrame:
                 yield _batch(a=pa.array(x.min(axis=1)), b=pa.array(x.max(axis=1)))
 
     ordered = units.repartition("unit").sortWithinPartitions("unit", "comp", "n", "sid").select("unit", "side", "comp", "sid", "set")
-    return stored(ordered.mapInArrow(tidied(run), "a long, b long").distinct(), "more")
+    return stored(in_arrow(ordered, run, "a long, b long").distinct(), "more")
 
 
 def _tree_links(rest: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
@@ -521,7 +530,7 @@ def _texts_of(found: DataFrame, spec: JoinSpec, clashed: np.ndarray) -> DataFram
             cols = {c: batch.column(c) for c in ("fam", "sid", "n", "body")} | {f"order{k}": pa.array(x) for k, x in enumerate(least)}
             yield _batch(**{c: x.filter(mask) for c, x in cols.items()})
 
-    return stored(found.select("fam", "sid", "n", "body").mapInArrow(tidied(run), "fam long, sid long, n long, body string, " + ", ".join(f"order{k} long" for k in range(ORDERS))), "texts")
+    return stored(in_arrow(found.select("fam", "sid", "n", "body"), run, "fam long, sid long, n long, body string, " + ", ".join(f"order{k} long" for k in range(ORDERS))), "texts")
 
 
 def _round(texts: DataFrame, spec: JoinSpec, order: int) -> DataFrame:
@@ -553,7 +562,7 @@ def _round(texts: DataFrame, spec: JoinSpec, order: int) -> DataFrame:
 
     by = ["fam", f"order{order}", "n", "sid"]
     ordered = texts.repartitionByRange(*by).sortWithinPartitions(*by).select("fam", "sid", "body")
-    return stored(ordered.mapInArrow(tidied(run), "kind int, a long, b long"), "round", partition_by="kind")
+    return stored(in_arrow(ordered, run, "kind int, a long, b long"), "round", partition_by="kind")
 
 
 def _links(texts: DataFrame, spec: JoinSpec) -> DataFrame:
@@ -611,6 +620,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, set_name) of each row of docs."""
+    spark = docs.sparkSession
     rows = docs.select(id_key(id_col).alias("key"), text_of(text_col).alias("body"))
     named = _name_pass(rows, spec)
     first = named.where("kind = 0").select("key", F.col("a").alias("sid"), F.col("b").alias("second"), "n")
@@ -621,6 +631,7 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", t
     classes = stored(sets.where("n > 0").groupBy("sid").agg(F.min("key").alias("rep"), F.max("n").alias("n")), "classes")
 
     prefixes = _first_prefixes(named.where("kind = 1"), spec, clashed)
+    drop_stored(spark, f"{named.clipweave_path}/kind=1")
     heads = prefixes.groupBy("key").agg(F.min("sid").alias("b"), F.max("sid").alias("top")).where("b <> top").select("key", "b")
     families = components(joined(prefixes.select("key", F.col("sid").alias("a")), heads, "key", "inner", 24).select("a", "b"))
     reps = stored(families.select(F.col("node").alias("sid"), F.col("comp").alias("fam")).join(classes, "sid").select("sid", "fam", F.col("rep").alias("key"), "n"), "suspects")
@@ -657,7 +668,7 @@ def _bitmaps(texts: DataFrame, spec: JoinSpec) -> DataFrame:
             for row, sets in all_sets(batch.column("body"), spec.words):
                 yield _batch(sid=sids.slice(row, len(sets)), bits=pa.array([bitmap(s).tobytes() for s in sets], pa.binary()))
 
-    return texts.mapInArrow(tidied(run), "sid long, bits binary").dropDuplicates(["sid"])
+    return in_arrow(texts, run, "sid long, bits binary").dropDuplicates(["sid"])
 
 
 def _held_sets(texts: DataFrame, spec: JoinSpec) -> DataFrame:
@@ -667,7 +678,7 @@ def _held_sets(texts: DataFrame, spec: JoinSpec) -> DataFrame:
             for row, sets in all_sets(batch.column("body"), spec.words):
                 yield _batch(sid=sids.slice(row, len(sets)), set=pa.array([s.tobytes() for s in sets], pa.binary()))
 
-    return texts.mapInArrow(tidied(run), "sid long, set binary").dropDuplicates(["sid"])
+    return in_arrow(texts, run, "sid long, set binary").dropDuplicates(["sid"])
 
 
 def keep_one(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
