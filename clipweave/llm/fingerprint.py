@@ -163,6 +163,11 @@ def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     names = ["key", "x", "y", "n_chars", "sha", "next", "next_x", "next_y"]
     texts = rows.join(given, "key").withColumn("edited", edited).withColumns({"n_chars": F.length("body").cast("long"), "sha": F.unhex(F.sha2("edited", 256))})
     changed = summed(texts.select(*names, "edited"), names, "edited").withColumnRenamed("f", "edited_f")
-    following = mine.select(F.col("key").alias("next"), F.col("x").alias("next_x"), F.col("y").alias("next_y"), F.col("f").alias("next_f"))
-    out = changed.join(mine.drop("rows"), ["key", "x", "y"]).join(following, ["next", "next_x", "next_y"])
+    # joined by key alone, as the texts are dealt already: only fingerprints of documents move, none of edited texts
+    same = lambda *pairs: [F.col(a).bitwiseXOR(F.col(b)) == 0 for a, b in pairs]  # noqa: E731  no join keys
+    own = mine.select("key", F.col("x").alias("own_x"), F.col("y").alias("own_y"), "f")
+    following = mine.join(serve, "key").select(F.col("to").alias("key"), F.col("key").alias("from"), F.col("x").alias("from_x"), F.col("y").alias("from_y"), F.col("f").alias("next_f"))
+    out = changed.join(own, "key").join(following, "key")
+    for condition in same(("x", "own_x"), ("y", "own_y"), ("next", "from"), ("next_x", "from_x"), ("next_y", "from_y")):
+        out = out.where(condition)
     return _repeated(out).select(F.when(F.col("key") != NULL_ID, F.col("key")).alias("doc_id"), "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), "f", "edited_f", "next_f")
