@@ -29,7 +29,7 @@ PATTERNS = {
     "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
     "assigned": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|auth)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[^\s\"',;]{6,})",
     "hex": r"\b[0-9a-f]{32,}\b",
-    "mixed": r"\b(?=[A-Za-z0-9+/_]*[0-9])(?=[A-Za-z0-9+/_]*[A-Z])[A-Za-z0-9+/_]{24,}={0,2}",
+    "mixed": r"(?<![A-Za-z0-9+/_])(?=[A-Za-z0-9+/_]*[0-9])(?=[A-Za-z0-9+/_]*[A-Z])[A-Za-z0-9+/_]{24,}={0,2}",
 }
 #: A quick look: a text without any of these has no candidate.
 HINT = r"AKIA|ASIA|gh[po]_|glpat-|xox[abp]-|sk_live_|sk-|AIza|PRIVATE KEY|(?i:passw|pwd|secret|token|api[_-]?key|auth)|[0-9a-f]{32}|[A-Za-z0-9+/_]{24}"
@@ -83,7 +83,11 @@ def features(kind: str, value: str, before: str, after: str, path: str) -> list[
 def candidates(text: str) -> Iterator[tuple[str, int, int]]:
     for m in SCAN.finditer(text):
         kind = m.lastgroup if m.lastgroup != "value" else "assigned"
-        yield kind, *(m.span("value") if kind == "assigned" else m.span())
+        start, end = m.span("value") if kind == "assigned" else m.span()
+        while kind == "mixed" and text[start] in "+/":  # a run is looked at once, from its beginning
+            start += 1
+        if kind != "mixed" or end - start >= 24:
+            yield kind, start, end
 
 
 @dataclass(frozen=True)

@@ -250,6 +250,17 @@ def test_long_candidates_are_covered_whole():
     assert forest.score(np.array([secrets.features("assigned", slug, "token=", "", "")]))[0] < 0.5
 
 
+def test_a_megabyte_is_scanned_in_seconds():
+    import time
+
+    began = time.perf_counter()
+    for text in ("a+" * 500_000, "sk-" * 300_000, "password=" * 100_000, "-----BEGIN " * 90_000, "f" * 1_000_000 + "g"):
+        sum(1 for _ in secrets.candidates(text))
+    assert time.perf_counter() - began < 20
+    key = "/aB3" + "x" * 30
+    assert list(secrets.candidates(f"see {key}, or some/long/path/to/config/password=hunter22")) == [("mixed", 5, 4 + len(key)), ("assigned", 4 + len(key) + 2 + 37, 4 + len(key) + 2 + 45)]
+
+
 def test_op4(spark, odd, empty):
     kinds = secrets.labelled_findings(600, seed=99)
     forest = secrets.fit()
