@@ -20,7 +20,8 @@ most components of near copies at linear cost. What is still apart is looked int
 their trees in a tree of the family, and the pairs of chunks that this tree leaves. No pair across components is
 dropped otherwise, so no link is lost, nor is any cap set.
 
-Components are labelled by the smallest doc_id with alternating large-star and small-star steps.
+Components are labelled by the smallest doc_id: blocks of edges become stars where they lie, with alternating
+large-star and small-star steps until the stars that are left fit a block.
 
 Nulls: a null text is the empty text; documents without words have an empty set and link with nothing. A
 null doc_id counts as an id below all others. Rows that share a doc_id count as one document with several
@@ -51,6 +52,8 @@ SLICE, BLOCK, SPARE = 4 << 20, 1 << 18, 7
 BITS, FANOUT, TOGETHER = 512, 8, 8192
 #: Orders in which a family's sets meet, one a round.
 ORDERS = 3
+#: Edges that a task turns into stars at once (16 MB).
+FOREST = 1 << 20
 SIGNED = np.int64
 
 
@@ -597,22 +600,53 @@ def _links(texts: DataFrame, spec: JoinSpec) -> DataFrame:
 # -- components
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, comp): the smallest node reachable over edges (a, b), for all nodes of edges between different nodes."""
-    edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+def _forest(edges: DataFrame, most: int, roots: bool = False) -> DataFrame:
+    """From edges (u, v): for each block of at most so many (or of one batch), an edge (u, v) from each node to the least node that the block's edges join it
+    with; with roots, also from that node to itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            x = np.concatenate(held, axis=1)
+            nodes, at = np.unique(x, return_inverse=True)
+            i, j = at.reshape(x.shape)
+            least = nodes[merged(np.arange(len(nodes)), i, j)]
+            keep = np.ones(len(nodes), bool) if roots else least != nodes
+            yield _batch(u=pa.array(nodes[keep]), v=pa.array(least[keep]))
+
+        for batch in batches:
+            if held and size + batch.num_rows > most:
+                yield from out()
+                held, size = [], 0
+            held.append(np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("u", "v")]))
+            size += batch.num_rows
+        if size:
+            yield from out()
+
+    return in_arrow(edges, run, "u long, v long")
+
+
+def components(edges: DataFrame, most: int = FOREST) -> DataFrame:
+    """(node, comp): the smallest node reachable over edges (a, b), for all nodes of edges between different nodes. Blocks of edges
+    become stars, without a shuffle; once no more edges are left than a block holds (`most`), they are one block, which one task
+    turns into the result. While there are more, steps of large and small stars go before."""
+    stars = stored(_forest(edges.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")), most), "stars")
     before = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now[0] <= most:
+            return stored(_forest(stars.coalesce(1), most, roots=True).select(F.col("u").alias("node"), F.col("v").alias("comp")), "components")
+        if now == before:
+            break
+        before = now
+        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.where("m < u").select("u", F.col("m").alias("v"))).distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(down.select("u", F.col("m").alias("v"))).distinct()
-        edges = stored(small, "stars")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+        stars = stored(_forest(small, most), "stars")
+    return stored(stars.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()), "components")
 
 
 # -- the join
@@ -643,7 +677,7 @@ def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", t
     # a doc_id with several texts binds their classes
     binds = sets.where("n > 0").groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("key")
     tied = sets.where("n > 0").join(binds, "key", "left_semi").join(name, "sid").select(F.col("key").alias("a"), F.col("rep").alias("b")).where("a <> b")
-    labels = stored(components(edges.unionByName(tied)), "components")
+    labels = components(edges.unionByName(tied))
     out = sets.join(name, "sid", "left").join(labels.select(F.col("node").alias("rep"), "comp"), "rep", "left")
     if not binds.isEmpty():  # then also by the id itself
         out = out.join(labels.select(F.col("node").alias("key"), F.col("comp").alias("own")), "key", "left").withColumn("comp", F.least(F.coalesce("comp", "own"), F.coalesce("own", "comp")))

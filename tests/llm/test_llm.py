@@ -436,6 +436,21 @@ def test_components_of_a_path(spark):
     assert set(got.values()) == {100, 5} and got[160] == 100 and got[900] == 5
 
 
+@pytest.mark.parametrize("most", [3, 40, 1 << 20])
+def test_components_with_more_edges_than_a_block(spark, most):
+    """Blocks smaller than the graph: steps of stars go before; the result is the same."""
+    rng = np.random.Generator(np.random.PCG64(3))
+    edges = [(int(a), int(b)) for a, b in rng.integers(-400, 400, (300, 2))] + [(i, i + 1) for i in range(1000, 1100)] + [(jaccard.NULL_ID, 5000)]
+    label = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in label:
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    got = {r["node"]: r["comp"] for r in jaccard.components(spark.createDataFrame(edges, "a long, b long").repartition(4), most).collect()}
+    assert got == label
+    assert jaccard.components(spark.createDataFrame([], "a long, b long"), most).count() == 0
+
+
 # -- 6
 
 
