@@ -154,7 +154,9 @@ def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     edited_sha256, f, edited_f, next_f."""
     rows = _named(docs, id_col, text_col)
     serve, repeated = neighbours(rows.select("key", F.floor(F.length("body") / 3).cast("long").alias("third")))
-    mine = stored(summed(rows, ["key", "x", "y"], "body"), "fingerprints")
+    # texts are dealt by key once, for the sums and both joins, which all read that exchange; own fingerprints don't move
+    rows = rows.repartition("key")
+    mine = summed(rows, ["key", "x", "y"], "body")
     given = rows.join(serve, "key").select(F.col("to").alias("key"), F.col("key").alias("next"), F.col("x").alias("next_x"), F.col("y").alias("next_y"), F.left(F.col("body"), F.col("need").cast("int")).alias("lead"), *(["body"] if repeated else []))
     if repeated:
         given = given.groupBy("key").agg(F.max_by(F.struct("next", "next_x", "next_y", "lead"), "body").alias("g")).select("key", "g.*")
@@ -163,7 +165,7 @@ def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     names = ["key", "x", "y", "n_chars", "sha", "next", "next_x", "next_y"]
     texts = rows.join(given, "key").withColumn("edited", edited).withColumns({"n_chars": F.length("body").cast("long"), "sha": F.unhex(F.sha2("edited", 256))})
     changed = summed(texts.select(*names, "edited"), names, "edited").withColumnRenamed("f", "edited_f")
-    # joined by key alone, as the texts are dealt already: only fingerprints of documents move, none of edited texts
+    # joined by key alone, as the texts are dealt already: only the next documents' fingerprints move
     same = lambda *pairs: [F.col(a).bitwiseXOR(F.col(b)) == 0 for a, b in pairs]  # noqa: E731  no join keys
     own = mine.select("key", F.col("x").alias("own_x"), F.col("y").alias("own_y"), "f")
     following = mine.join(serve, "key").select(F.col("to").alias("key"), F.col("key").alias("from"), F.col("x").alias("from_x"), F.col("y").alias("from_y"), F.col("f").alias("next_f"))
