@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipweave.storage import drop, drop_stored, extended, new_path, shared_dir, stored, written  # noqa: F401
+from clipweave.storage import drop, drop_stored, extended, kept, new_path, shared_dir, stored, written  # noqa: F401
 
 #: Largest table, in estimated bytes, that a helper here sends to every executor.
 BROADCAST_LIMIT = 32 << 20
@@ -81,9 +81,9 @@ def small_side(df: DataFrame, row_bytes: int, limit: int = BROADCAST_LIMIT) -> D
     return F.broadcast(df) if df.count() * (row_bytes + 48) <= limit else df
 
 
-def joined(left: DataFrame, right: DataFrame, on, how: str, row_bytes: int) -> DataFrame:
-    """A join that broadcasts a counted small right side; the right side is stored, so that it is not made twice."""
-    held = right if getattr(right, "clipweave_path", None) else stored(right, "side")
+def joined(left: DataFrame, right: DataFrame, on, how: str, row_bytes: int, hold=stored) -> DataFrame:
+    """A join that broadcasts a counted small right side; the right side is stored (or kept), so that it is not made twice."""
+    held = right if getattr(right, "clipweave_path", None) else hold(right, "side")
     return left.join(small_side(held, row_bytes), on, how)
 
 

@@ -20,6 +20,8 @@ most components of near copies at linear cost. What is still apart is looked int
 their trees in a tree of the family, and the pairs of chunks that this tree leaves. No pair across components is
 dropped otherwise, so no link is lost, nor is any cap set.
 
+Wide tables are kept on the executors' disks, not written: each file written starts processes on a local file system.
+
 Components are labelled by the smallest doc_id: blocks of edges become stars where they lie, with alternating
 large-star and small-star steps until the stars that are left fit a block.
 
@@ -41,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipweave.llm.common import NULL_ID, drop_stored, fresh, id_key, joined, partitions, small_side, stored, text_of, in_arrow
+from clipweave.llm.common import NULL_ID, drop, fresh, id_key, joined, kept, partitions, small_side, stored, text_of, in_arrow
 from clipweave.llm.exact_dedup import golomb_decode, golomb_encode
 from clipweave.llm.shingles import all_sets, mixed, slices
 
@@ -109,6 +111,11 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
+def dealt(df: DataFrame, tag: str) -> DataFrame:
+    """df, kept; not by the key it was grouped by, since a join on that key would then leave a frequent key to one task."""
+    return kept(df.hint("rebalance"), tag)
+
+
 def _batch(**cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
@@ -159,7 +166,7 @@ def _name_pass(rows: DataFrame, spec: JoinSpec) -> DataFrame:
         if about:
             yield out()
 
-    return stored(in_arrow(rows, run, NAMED), "sets", partition_by="kind")
+    return kept(in_arrow(rows, run, NAMED), "sets")
 
 
 # -- the exchange: how often is a shingle found?
@@ -230,7 +237,7 @@ def _first_prefixes(blocks: DataFrame, spec: JoinSpec, clashed: np.ndarray) -> D
     messages = in_arrow(blocks.select("key", "hashes"), send, "owner int, key long, message binary, times binary")
     answers = messages.groupBy("owner").applyInArrow(answer, "owner int, key long, levels binary")
     found = blocks.select("key", "sets", "more", "hashes").groupBy("key").cogroup(answers.groupBy("key")).applyInArrow(receive, "key long, sid long, n long")
-    return stored(found, "prefixes")
+    return kept(found, "prefixes")
 
 
 # -- signature trees
@@ -396,7 +403,7 @@ def chunked(members: DataFrame, spec: JoinSpec) -> DataFrame:
     before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy("key", "part").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     starts = sums.select("key", "part", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("c"), F.coalesce(F.sum("s").over(before), F.lit(0)).alias("s"))
-    numbered = joined(rows, starts, ["key", "part"], "inner", 32)
+    numbered = joined(rows, starts, ["key", "part"], "inner", 32, dealt)
     chunk = F.xxhash64("key", F.floor((F.col("c") + F.col("at")) / spec.chunk_rows), F.floor((F.col("s") + F.col("held")) / spec.chunk_shingles))
     return stored(numbered.select(chunk.alias("chunk"), "key", "comp", "n", "sid"), "chunks")
 
@@ -501,7 +508,7 @@ def _tree_pass(units: DataFrame, percent: int) -> DataFrame:
 def _tree_links(rest: DataFrame, texts: DataFrame, spec: JoinSpec) -> DataFrame:
     """Links between components of the open families' members (key, comp, n, sid)."""
     cut = chunked(rest, spec)
-    suspects = lambda rows: joined(texts.select("sid", "body"), rows.select("sid").distinct(), "sid", "left_semi", 16)
+    suspects = lambda rows: joined(texts.select("sid", "body"), rows.select("sid").distinct(), "sid", "left_semi", 16, dealt)
     marks = stored(_bitmaps(suspects(cut), spec), "marks")
     chunks = cut.groupBy("key", "chunk").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     mixed_chunks = chunks.where("lo <> hi").select(F.col("chunk").alias("unit"), "chunk")
@@ -533,7 +540,7 @@ def _texts_of(found: DataFrame, spec: JoinSpec, clashed: np.ndarray) -> DataFram
             cols = {c: batch.column(c) for c in ("fam", "sid", "n", "body")} | {f"order{k}": pa.array(x) for k, x in enumerate(least)}
             yield _batch(**{c: x.filter(mask) for c, x in cols.items()})
 
-    return stored(in_arrow(found.select("fam", "sid", "n", "body"), run, "fam long, sid long, n long, body string, " + ", ".join(f"order{k} long" for k in range(ORDERS))), "texts")
+    return kept(in_arrow(found.select("fam", "sid", "n", "body"), run, "fam long, sid long, n long, body string, " + ", ".join(f"order{k} long" for k in range(ORDERS))), "texts")
 
 
 def _round(texts: DataFrame, spec: JoinSpec, order: int) -> DataFrame:
@@ -565,7 +572,7 @@ def _round(texts: DataFrame, spec: JoinSpec, order: int) -> DataFrame:
 
     by = ["fam", f"order{order}", "n", "sid"]
     ordered = texts.repartitionByRange(*by).sortWithinPartitions(*by).select("fam", "sid", "body")
-    return stored(in_arrow(ordered, run, "kind int, a long, b long"), "round", partition_by="kind")
+    return kept(in_arrow(ordered, run, "kind int, a long, b long"), "round")
 
 
 def _links(texts: DataFrame, spec: JoinSpec) -> DataFrame:
@@ -573,10 +580,10 @@ def _links(texts: DataFrame, spec: JoinSpec) -> DataFrame:
     met = _round(texts, spec, 0)
     links = met.where("kind = 0").select("a", "b")
     large = met.where("kind = 1").groupBy("a").agg(F.countDistinct("b").alias("chunks")).where("chunks > 1").select(F.col("a").alias("fam"))
-    large = stored(large, "large")
+    large = dealt(large, "large")
     if large.isEmpty():
         return links
-    members = stored(joined(texts.select("fam", "sid", "n").distinct(), large, "fam", "left_semi", 16), "members")
+    members = stored(joined(texts.select("fam", "sid", "n").distinct(), large, "fam", "left_semi", 16, dealt), "members")
 
     def labelled() -> DataFrame:
         label = components(links).select(F.col("node").alias("sid"), "comp")
@@ -590,10 +597,10 @@ def _links(texts: DataFrame, spec: JoinSpec) -> DataFrame:
         if not now or before and now > 0.7 * before:
             break
         chosen = heads.join(open_, "key", "left_semi").select("sid")
-        links = links.unionByName(_round(joined(texts, chosen, "sid", "left_semi", 16), spec, order).where("kind = 0").select("a", "b"))
+        links = links.unionByName(_round(joined(texts, chosen, "sid", "left_semi", 16, dealt), spec, order).where("kind = 0").select("a", "b"))
         rows, before = labelled(), now
     several = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    rest = stored(joined(rows, several, "key", "left_semi", 16), "open")
+    rest = stored(joined(rows, several, "key", "left_semi", 16, dealt), "open")
     return links if rest.isEmpty() else links.unionByName(_tree_links(rest, texts, spec))
 
 
@@ -631,7 +638,7 @@ def components(edges: DataFrame, most: int = FOREST) -> DataFrame:
     """(node, comp): the smallest node reachable over edges (a, b), for all nodes of edges between different nodes. Blocks of edges
     become stars, without a shuffle; once no more edges are left than a block holds (`most`), they are one block, which one task
     turns into the result. While there are more, steps of large and small stars go before."""
-    stars = stored(_forest(edges.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")), most), "stars")
+    stars = kept(_forest(edges.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")), most), "stars")
     before = None
     while True:
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -654,21 +661,21 @@ def components(edges: DataFrame, most: int = FOREST) -> DataFrame:
 
 def join(docs: DataFrame, spec: JoinSpec = JoinSpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, set_name) of each row of docs."""
-    spark = docs.sparkSession
     rows = docs.select(id_key(id_col).alias("key"), text_of(text_col).alias("body"))
     named = _name_pass(rows, spec)
-    first = named.where("kind = 0").select("key", F.col("a").alias("sid"), F.col("b").alias("second"), "n")
+    first = kept(named.where("kind = 0").select("key", F.col("a").alias("sid"), F.col("b").alias("second"), "n"), "named")
     twice = first.where("n > 0").groupBy("sid").agg(F.min("second").alias("x"), F.max("second").alias("y")).where("x <> y").select("sid")
     # sets that share a 64-bit name: of N sets some N * N / 2^65, none but in the largest tables
     clashed = np.array([r["sid"] for r in twice.collect()], np.int64).view(np.uint64)
     sets = _settled_rows(first, clashed) if len(clashed) else first
-    classes = stored(sets.where("n > 0").groupBy("sid").agg(F.min("key").alias("rep"), F.max("n").alias("n")), "classes")
+    classes = dealt(sets.where("n > 0").groupBy("sid").agg(F.min("key").alias("rep"), F.max("n").alias("n")), "classes")
 
     prefixes = _first_prefixes(named.where("kind = 1"), spec, clashed)
-    drop_stored(spark, f"{named.clipweave_path}/kind=1")
+    drop(named)
     heads = prefixes.groupBy("key").agg(F.min("sid").alias("b"), F.max("sid").alias("top")).where("b <> top").select("key", "b")
-    families = components(joined(prefixes.select("key", F.col("sid").alias("a")), heads, "key", "inner", 24).select("a", "b"))
-    reps = stored(families.select(F.col("node").alias("sid"), F.col("comp").alias("fam")).join(classes, "sid").select("sid", "fam", F.col("rep").alias("key"), "n"), "suspects")
+    families = components(joined(prefixes.select("key", F.col("sid").alias("a")), heads, "key", "inner", 24, dealt).select("a", "b"))
+    drop(prefixes)
+    reps = kept(families.select(F.col("node").alias("sid"), F.col("comp").alias("fam")).join(classes, "sid").select("sid", "fam", F.col("rep").alias("key"), "n"), "suspects")
     texts = _texts_of(joined(rows, reps, "key", "inner", 40), spec, clashed)
     links = _links(texts, spec)
 

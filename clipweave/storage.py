@@ -1,4 +1,4 @@
-"""Tables in the folder that the driver and all executors share: they cut lineage and outlive executors."""
+"""Tables in the folder that the driver and all executors share, which cut lineage and outlive executors, and tables on the executors' disks."""
 
 from __future__ import annotations
 
@@ -6,10 +6,12 @@ import atexit
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _written: set[str] = set()
+_kept: dict[str, DataFrame] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,8 +47,30 @@ def stored(df: DataFrame, tag: str, partition_by: str | None = None) -> DataFram
     return out
 
 
+def kept(df: DataFrame, tag: str) -> DataFrame:
+    """df computed once and held on the executors' disks; what a lost executor held is computed again. It writes no files into the
+    shared folder, where each starts processes on a local file system, but later plans contain df's: not for loops. Its plan is
+    adapted to the end, as a written table's is: small partitions are joined, skewed joins dealt anew."""
+    conf, key = df.sparkSession.conf, "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        out = df.persist(StorageLevel.DISK_ONLY)
+    finally:
+        conf.set(key, before)
+    out.clipweave_path = f"kept:{uuid.uuid4().hex}-{tag}"
+    _kept[out.clipweave_path] = out
+    _written.add(out.clipweave_path)
+    out.count()
+    return out
+
+
 def drop_stored(spark: SparkSession, path: str) -> None:
-    """Deletes a table of stored() that no later plan reads."""
+    """Deletes a table of stored() or kept() that no later plan needs."""
+    if path in _kept:
+        _kept.pop(path).unpersist()
+        _written.discard(path)
+        return
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
@@ -54,13 +78,13 @@ def drop_stored(spark: SparkSession, path: str) -> None:
 
 
 def drop(*tables: DataFrame) -> None:
-    """Deletes tables of stored() that no later plan reads."""
+    """Deletes tables of stored() or kept() that no later plan needs."""
     for df in tables:
         drop_stored(df.sparkSession, df.clipweave_path)
 
 
 def written() -> set[str]:
-    """The paths of the tables that have not been dropped."""
+    """The paths of the tables that have not been dropped, kept ones under names of their own."""
     return set(_written)
 
 

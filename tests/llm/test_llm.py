@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from clipweave import storage
 from clipweave.llm import bpe, chat, exact_dedup, fingerprint, jaccard, langid, line_dedup, mixing, quality, queries, secrets, shingles
 
 SF = "/root/testdata/sf0.001"
@@ -430,6 +432,44 @@ def test_bitmap_pass_names_parts(spark):
     assert len({r["unit"] for r in rows}) == 2
 
 
+def test_join_writes_few_files(spark):
+    """Files in the shared folder don't grow with the input's partitions; what was kept besides is dropped like them."""
+    shared, before = Path(spark.conf.get("spark.checkpoint.dir")), storage.written()
+    rows = [(i, " ".join(f"w{i // 4 * 50 + k}" for k in range(40 + i % 4))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def files(parts: int) -> int:
+        old = set(shared.rglob("part-*"))
+        got = {r["doc_id"]: r["component_id"] for r in jaccard.join(df.repartition(parts), jaccard.JoinSpec(words=4, percent=85)).collect()}
+        assert got == {i: i // 4 * 4 for i in range(200)}
+        return len(set(shared.rglob("part-*")) - old)
+
+    assert files(24) <= files(2) + 4
+    left = storage.written() - before
+    assert any(path.startswith("kept:") for path in left)
+    for path in left:
+        storage.drop_stored(spark, path)
+    assert not storage.written() - before
+
+
+def test_kept_joins_deal_frequent_keys_anew(spark):
+    """A join of kept tables on the key that one was grouped by: a frequent key isn't one task's."""
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "25k"}
+    old = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        rows = storage.kept(spark.range(0, 100_000, 1, 4).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 100).alias("key"), F.xxhash64("id").alias("x")), "rows")
+        least = jaccard.dealt(rows.groupBy("key").agg(F.min("x").alias("least")), "least")
+        both = storage.kept(rows.join(least, "key").select("key", "x", "least", F.spark_partition_id().alias("part")), "both")
+        assert both.count() == 100_000 and both.where("key = 0").select("part").distinct().count() > 1
+        assert spark.conf.get("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning") == "false"
+        storage.drop(rows, least, both)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100, 160)] + [(5, 900), (7, 7)], "a long, b long")
     got = {r["node"]: r["comp"] for r in jaccard.components(edges).collect()}
