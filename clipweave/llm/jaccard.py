@@ -112,8 +112,9 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def dealt(df: DataFrame, tag: str) -> DataFrame:
-    """df, kept; not by the key it was grouped by, since a join on that key would then leave a frequent key to one task."""
-    return kept(df.hint("rebalance"), tag)
+    """df, kept; not by the key it was grouped by, since a join on that key would then leave a frequent key to one task. (A hint to
+    rebalance is no way: read locally, rows stay where they were.)"""
+    return kept(df.repartition(F.xxhash64(*df.columns)), tag)
 
 
 def _batch(**cols) -> pa.RecordBatch:

@@ -452,9 +452,10 @@ def test_join_writes_few_files(spark):
     assert not storage.written() - before
 
 
-def test_kept_joins_deal_frequent_keys_anew(spark):
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_kept_joins_deal_frequent_keys_anew(spark, coalesce):
     """A join of kept tables on the key that one was grouped by: a frequent key isn't one task's."""
-    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "25k"}
+    confs = {"spark.sql.adaptive.coalescePartitions.enabled": coalesce, "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "25k"}
     old = {k: spark.conf.get(k) for k in confs}
     try:
         for k, v in confs.items():
