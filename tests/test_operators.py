@@ -2,6 +2,7 @@
 
 import json
 import random
+import threading
 
 import pytest
 from hypothesis import given, settings
@@ -55,6 +56,29 @@ def test_with_cuts_keeps_rows(spark):
     assert got == {"a": [(0, 5), (5, 12), (12, 20)], "b": [], "c": []}
 
 
+@pytest.fixture
+def within_a_minute(spark):
+    """Jobs that take longer are stopped, and their test fails."""
+    timer = threading.Timer(60, spark.sparkContext.cancelAllJobs)
+    timer.start()
+    yield
+    timer.cancel()
+
+
+def test_snapping_a_long_source(spark, within_a_minute):
+    n = 4000
+    cuts, said = [(5.0 * i, 5.0 * i + 5) for i in range(2 * n)], [(10.0 * i + 4, 10.0 * i + 6) for i in range(n)]
+    row = spark.createDataFrame([(cuts, said)], f"cuts {intervals.CUTS}, said {intervals.CUTS}")
+    wanted = [x for i in range(n) for x in [(10.0 * i, 10.0 * i + 6), (10.0 * i + 6, 10.0 * i + 10)]]
+    assert [tuple(c) for c in row.select(intervals.snapped(F.col("cuts"), F.col("said")).alias("c")).first()["c"]] == wanted
+
+
+def test_snapping_leaves_what_it_need_not_change(spark):
+    rows = spark.createDataFrame([(0, [(0.001, 5.0)], []), (1, [(0.001, 5.0)], None), (2, None, [(1.0, 2.0)]), (3, [], [(1.0, 2.0)])], f"i int, cuts {intervals.CUTS}, said {intervals.CUTS}")
+    got = {r["i"]: r["c"] and [tuple(c) for c in r["c"]] for r in rows.select("i", intervals.snapped(F.col("cuts"), F.col("said")).alias("c")).collect()}
+    assert got == {0: [(0.001, 5.0)], 1: [(0.001, 5.0)], 2: None, 3: []}
+
+
 def test_gap_dedup(spark):
     rows = spark.createDataFrame([("a", t) for t in (1000, 1100, 1250, 1310, 2000)] + [("b", None)], "k string, t bigint")
     assert sorted(r["t"] for r in folds.gap_dedup(rows.where("t is not null"), "k", "t", 200).collect()) == [1000, 1250, 2000]
