@@ -73,6 +73,13 @@ def test_snapping_a_long_source(spark, within_a_minute):
     assert [tuple(c) for c in row.select(intervals.snapped(F.col("cuts"), F.col("said")).alias("c")).first()["c"]] == wanted
 
 
+def test_plan_of_a_long_source(spark, within_a_minute):
+    n = 20_000  # short parts of 1 s, stretches of 6 s, and one too long at the end
+    scenes = [t for i in range(n) for t in (7 * i + 1, 7 * i + 7)]
+    cuts = plans(spark, [(7 * n + 16, scenes)])[0]
+    assert cuts == [(7 * i, 7 * i + 7) for i in range(n)] + [(7 * n, 7 * n + 8), (7 * n + 8, 7 * n + 16)]
+
+
 def test_snapping_leaves_what_it_need_not_change(spark):
     rows = spark.createDataFrame([(0, [(0.001, 5.0)], []), (1, [(0.001, 5.0)], None), (2, None, [(1.0, 2.0)]), (3, [], [(1.0, 2.0)])], f"i int, cuts {intervals.CUTS}, said {intervals.CUTS}")
     got = {r["i"]: r["c"] and [tuple(c) for c in r["c"]] for r in rows.select("i", intervals.snapped(F.col("cuts"), F.col("said")).alias("c")).collect()}
