@@ -14,6 +14,8 @@ from clipweave.storage import stored
 
 SLICES = ("source_path", "filename", "md5", "size", "slice_count", "output_dir", "status", "note", "time")
 MIXES = ("source", "script", "count", "output_dir", "status", "time", "seed", "batch")
+#: A file's lines are sorted in stretches of 2 to this power.
+STRETCH_BITS = 14
 
 
 def numbered(rows: DataFrame, order: list[str], name: str = "number") -> DataFrame:
@@ -29,16 +31,29 @@ def numbered(rows: DataFrame, order: list[str], name: str = "number") -> DataFra
 def table_cells(lines: DataFrame, anchor: str) -> DataFrame:
     """(file, line_no, cells) of the rows under the line that is the anchor, up to the next heading of its kind; header, rule and rows
     whose first cell is empty go."""
-    above = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    is_anchor = ustrip(F.col("line")) == anchor
-    within = F.last(F.when(is_anchor, True).when(F.col("line").startswith("## "), False), ignorenulls=True).over(above)
     bare = ustrip(F.col("line"))
-    cells = F.transform(F.split(F.regexp_replace(bare, r"^\|+|\|+$", ""), r"\|", -1), ustrip)
-    rows = lines.withColumn("_in", within).where(F.col("_in") & ~is_anchor & bare.startswith("|")).select("file", "line_no", cells.alias("cells"))
+    is_anchor = bare == anchor
+    mark = F.when(is_anchor, True).when(F.col("line").startswith("## "), False)
+    placed = lines.select("file", "line_no", bare.alias("_bare"), mark.alias("_mark"), F.shiftright("line_no", STRETCH_BITS).alias("_stretch")).where(F.col("_mark").isNotNull() | F.col("_bare").startswith("|"))
+    within = _last_mark(placed).where(F.col("_in") & ~F.coalesce(F.col("_mark"), F.lit(False)) & F.col("_bare").startswith("|"))
+    cells = F.transform(F.split(F.regexp_replace("_bare", r"^\|+|\|+$", ""), r"\|", -1), ustrip)
+    rows = within.select("file", "line_no", cells.alias("cells"))
     first = F.col("cells")[0]
     return rows.where((first != "#") & ~first.rlike("^[-:]*$"))
 
 
+def _last_mark(placed: DataFrame) -> DataFrame:
+    """placed plus _in: the last mark in the file up to the line. Stretches of a file are sorted apart, and only a row of each meets the
+    others, so that a file of any length is no task's load."""
+    here = Window.partitionBy("file", "_stretch").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    above = Window.partitionBy("file").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    ends = placed.groupBy("file", "_stretch").agg(F.max_by("_mark", F.when(F.col("_mark").isNotNull(), F.col("line_no"))).alias("_end"))
+    starts = ends.select(F.col("file").alias("_file"), F.col("_stretch").alias("_of"), F.last("_end", ignorenulls=True).over(above).alias("_start"))
+    found = placed.withColumn("_in", F.last("_mark", ignorenulls=True).over(here))
+    same = F.col("file").eqNullSafe(F.col("_file")) & F.col("_stretch").eqNullSafe(F.col("_of"))
+    return found.join(starts, same).withColumn("_in", F.coalesce("_in", "_start"))
+
+
 def _cell(i: int) -> Column:
     return F.coalesce(F.get("cells", F.lit(i)), F.lit(""))
 

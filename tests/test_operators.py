@@ -366,3 +366,14 @@ def test_sentences_of_a_long_script(spark, within_a_minute):
     rows = planner.sentence_targets(scripts, ["i"], "text", "total", "hook", ".!").collect()
     assert [(r["i"], r["sentence_no"], r["sentence"]) for r in rows] == [(0, k, "c" if k % 2 else "ab") for k in range(2 * n)] + [(1, 0, ";")]
     assert sum(r["seconds"] for r in rows if r["i"] == 0) == pytest.approx(57)
+
+
+def test_ledger_rows_of_a_long_file_are_dealt(spark):
+    from clipweave.operators import ledgers
+
+    n = 3 << ledgers.STRETCH_BITS  # sections end and begin in other stretches than most of their rows
+    kept = F.when(F.col("id") == 5, " ## A ").when(F.col("id") == n - 9, "## B").otherwise(F.concat(F.lit("| "), F.col("id").cast("string"), F.lit(" | x |")))
+    lines = spark.range(n).select((F.col("id") % 2).alias("file"), F.col("id").alias("line_no"), F.when(F.col("file") == 0, "| 0 |").otherwise(kept).alias("line"))
+    cells = ledgers.table_cells(lines, "## A").persist()
+    assert [(r["file"], r["line_no"], r["cells"][0]) for r in cells.orderBy("line_no").collect()] == [(1, i, str(i)) for i in range(7, n - 9, 2)]
+    assert max(r["n"] for r in cells.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()) < n // 4  # of n // 2
